@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +37,8 @@ def _targets_df(spark, rows):
 
 
 def select_ranks(values: DataFrame, group_col: str, value_col: str, wanted: dict,
-                 max_exact: int = 100_000, n_buckets: int = 512, max_rounds: int = 12) -> dict:
+                 max_exact: int = 100_000, n_buckets: int = 512, max_rounds: int = 12,
+                 group_counts: dict | None = None) -> dict:
     """Exact value at 0-based rank ``r`` of each group, for ``wanted = {group: [r, ...]}``.
 
     ``values`` holds ``(group_col, value_col)`` with no nulls.  Returns
@@ -56,6 +58,8 @@ def select_ranks(values: DataFrame, group_col: str, value_col: str, wanted: dict
             tid += 1
     result: dict = {}
     counts = None
+    if group_counts is not None:
+        counts = {t[1]: group_counts.get(t[0], 0) for t in open_t}
     for _ in range(max_rounds):
         if not open_t:
             break
@@ -124,9 +128,19 @@ def exact_quantiles(df: DataFrame, columns, probs, **kw) -> dict:
     All columns are handled in the same passes (unpivoted to one long table).
     """
     columns = list(columns)
+    # the values are read by several small jobs: keep them (memory, then
+    # disk; a lost block is recomputed from lineage)
     long = (df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
             .unpivot([], columns, "_g", "_v")
-            .where(F.col("_v").isNotNull() & ~F.isnan("_v")))
+            .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+            .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        return _exact_quantiles(long, columns, probs, **kw)
+    finally:
+        long.unpersist()
+
+
+def _exact_quantiles(long: DataFrame, columns, probs, **kw) -> dict:
     ns = {c: 0 for c in columns}
     for r in long.groupBy("_g").agg(F.count("*").alias("n")).collect():
         ns[r["_g"]] = r["n"]
@@ -141,7 +155,7 @@ def exact_quantiles(df: DataFrame, columns, probs, **kw) -> dict:
             r1 = min(r0 + 1, n - 1)
             plan[(c, p)] = (r0, r1, h - r0)
             wanted.setdefault(c, set()).update({r0, r1})
-    got = select_ranks(long, "_g", "_v", wanted, **kw) if wanted else {}
+    got = select_ranks(long, "_g", "_v", wanted, group_counts=ns, **kw) if wanted else {}
     out = {}
     for c in columns:
         vals = []
