@@ -4,3 +4,4 @@ from wardline.plans.registry import ORACLE, QUERIES  # noqa: F401
 from wardline.plans import grid_queries  # noqa: F401
 from wardline.plans import explore_queries  # noqa: F401,E402
 from wardline.plans import tuple_queries  # noqa: F401,E402
+from wardline.plans import metric_queries  # noqa: F401,E402
