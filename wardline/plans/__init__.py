@@ -6,3 +6,4 @@ from wardline.plans import explore_queries  # noqa: F401,E402
 from wardline.plans import tuple_queries  # noqa: F401,E402
 from wardline.plans import metric_queries  # noqa: F401,E402
 from wardline.plans import text_queries  # noqa: F401,E402
+from wardline.plans import series_queries  # noqa: F401,E402
