@@ -27,113 +27,161 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _targets_df(spark, rows):
-    schema = T.StructType([
-        T.StructField("_g", T.StringType()), T.StructField("_t", T.LongType()),
-        T.StructField("_lo", T.DoubleType()), T.StructField("_hi", T.DoubleType()),
-        T.StructField("_r", T.LongType()),
-    ])
-    return spark.createDataFrame(rows, schema)
+def bucket_index(bounds, v, n_bounds: int):
+    """Number of sorted ``bounds`` strictly below ``v`` (binary search in
+    ``ceil(log2(n+1))`` steps instead of ``n`` comparisons)."""
+    steps = max(1, math.ceil(math.log2(n_bounds + 1)))
+    init = F.struct(F.lit(0).alias("l"), F.size(bounds).alias("h"))
+
+    def step(acc, _):
+        mid = F.floor((acc["l"] + acc["h"]) / 2).cast("int")
+        below = F.when(acc["l"] < acc["h"], F.get(bounds, mid) < v).otherwise(F.lit(False))
+        return F.struct(F.when(below, mid + 1).otherwise(acc["l"]).alias("l"),
+                        F.when((acc["l"] < acc["h"]) & ~below, mid).otherwise(acc["h"]).alias("h"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["l"]
+
+
+def _search_tree(bounds, v, lo: int, hi: int):
+    """Literal binary search: number of ``bounds[lo:hi]`` below ``v`` plus ``lo``.
+    Compiles to nested comparisons (whole-stage codegen, log2 depth)."""
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(v > F.lit(float(bounds[mid])), _search_tree(bounds, v, mid + 1, hi)).otherwise(
+        _search_tree(bounds, v, lo, mid))
+
+
+def _bucket_expr(bounds_by_bracket: dict, b, v):
+    expr = None
+    for key, bounds in bounds_by_bracket.items():
+        t = _search_tree(bounds, v, 0, len(bounds))
+        expr = F.when(b == F.lit(key), t) if expr is None else expr.when(b == F.lit(key), t)
+    return expr.otherwise(F.lit(0))
 
 
 def select_ranks(values: DataFrame, group_col: str, value_col: str, wanted: dict,
-                 max_exact: int = 100_000, n_buckets: int = 512, max_rounds: int = 12,
+                 max_exact: int = 50_000, n_buckets: int = 64, max_rounds: int = 16,
                  group_counts: dict | None = None) -> dict:
     """Exact value at 0-based rank ``r`` of each group, for ``wanted = {group: [r, ...]}``.
 
-    ``values`` holds ``(group_col, value_col)`` with no nulls.  Returns
-    ``{(group, r): value}``.  Only per-target counts and bounds reach the
-    driver; their size is ``targets x n_buckets`` at most.
+    Work is organised by *bracket* ``(group, lo, hi]``: all ranks that fall
+    into the same bracket share one pass, and brackets of one group never
+    overlap, so every value is read once per round.  Only bracket counts,
+    bucket bounds and the picked values reach the driver.
     """
     spark = values.sparkSession
     v = values.select(F.col(group_col).cast("string").alias("_g"), F.col(value_col).cast("double").alias("_v"))
-    # open targets: (group, target id, lo exclusive, hi inclusive, rank inside bracket, count inside)
-    open_t = []
-    tid = 0
-    keys = {}
+    # bracket id -> (group, lo, hi, count, [(target key, rank inside bracket)])
+    brackets = {}
+    bid = 0
     for g, ranks in wanted.items():
-        for r in sorted(set(ranks)):
-            keys[tid] = (g, r)
-            open_t.append([str(g), tid, None, None, int(r)])
-            tid += 1
+        cnt = (group_counts or {}).get(g)
+        brackets[bid] = (str(g), None, None, cnt, [((g, r), int(r)) for r in sorted(set(ranks))], False)
+        bid += 1
     result: dict = {}
-    counts = None
-    if group_counts is not None:
-        counts = {t[1]: group_counts.get(t[0], 0) for t in open_t}
     for _ in range(max_rounds):
-        if not open_t:
+        if not brackets:
             break
-        tdf = F.broadcast(_targets_df(spark, [tuple(t) for t in open_t]))
-        inb = (v.join(tdf, "_g")
-               .where((F.col("_lo").isNull() | (F.col("_v") > F.col("_lo")))
-                      & (F.col("_hi").isNull() | (F.col("_v") <= F.col("_hi")))))
-        if counts is None:
-            counts = {r["_t"]: r["n"] for r in inb.groupBy("_t").agg(F.count("*").alias("n")).collect()}
-        small = [t for t in open_t if counts.get(t[1], 0) <= max_exact]
-        big = [t for t in open_t if counts.get(t[1], 0) > max_exact]
+        # bracket membership as one compiled CASE (brackets are few and disjoint per group)
+        member = None
+        for b, x in brackets.items():
+            cond = F.col("_g") == F.lit(x[0])
+            if x[1] is not None:
+                cond = cond & (F.col("_v") > F.lit(float(x[1])))
+            if x[2] is not None:
+                cond = cond & (F.col("_v") <= F.lit(float(x[2])))
+            member = F.when(cond, F.lit(b)) if member is None else member.when(cond, F.lit(b))
+        inb = v.select(member.alias("_b"), "_v").where(F.col("_b").isNotNull())
+        if any(x[3] is None for x in brackets.values()):
+            got = {r["_b"]: r["n"] for r in inb.groupBy("_b").agg(F.count("*").alias("n")).collect()}
+            brackets = {b: (x[0], x[1], x[2], got.get(b, 0), x[4], x[5]) for b, x in brackets.items()}
+        stuck = {b: x for b, x in brackets.items() if x[5] and x[3] > max_exact}
+        if stuck:
+            # heavy ties: the approximate bounds cannot split the bracket, so
+            # count each distinct value (few, or the bounds would have split)
+            vc = (inb.where(F.col("_b").isin(list(stuck))).groupBy("_b", "_v").agg(F.count("*").alias("n"))
+                  .groupBy("_b").agg(F.sort_array(F.collect_list(F.struct("_v", "n"))).alias("_vc")).collect())
+            for row in vc:
+                cells = row["_vc"]
+                for key, r in stuck[row["_b"]][4]:
+                    below = 0
+                    for cell in cells:
+                        if r < below + cell["n"]:
+                            result[key] = cell["_v"]
+                            break
+                        below += cell["n"]
+            brackets = {b: x for b, x in brackets.items() if b not in stuck}
+        small = {b: x for b, x in brackets.items() if x[3] <= max_exact}
+        big = {b: x for b, x in brackets.items() if x[3] > max_exact}
         if small:
-            ids = [t[1] for t in small]
-            picked = (inb.where(F.col("_t").isin(ids))
-                      .groupBy("_t", "_r")
-                      .agg(F.sort_array(F.collect_list("_v")).alias("_s"))
-                      .select("_t", F.element_at("_s", (F.col("_r") + 1).cast("int")).alias("_x"))
-                      .collect())
-            for row in picked:
-                result[keys[row["_t"]]] = row["_x"]
-        open_t = big
+            picks = spark.createDataFrame([(b, i, r) for b, x in small.items() for i, (_, r) in enumerate(x[4])],
+                                          "_b long, _i int, _r long")
+            sorted_vals = (inb.where(F.col("_b").isin(list(small)))
+                           .groupBy("_b").agg(F.sort_array(F.collect_list("_v")).alias("_s")))
+            rows = (sorted_vals.join(F.broadcast(picks), "_b")
+                    .select("_b", "_i", F.element_at("_s", (F.col("_r") + 1).cast("int")).alias("_x"))
+                    .collect())
+            for row in rows:
+                result[small[row["_b"]][4][row["_i"]][0]] = row["_x"]
+        brackets = big
         if not big:
             break
-        ids = [t[1] for t in big]
         probs = [i / n_buckets for i in range(1, n_buckets)]
-        bounds = {r["_t"]: sorted(set(r["_b"])) for r in
-                  inb.where(F.col("_t").isin(ids)).groupBy("_t")
-                  .agg(F.percentile_approx("_v", probs, 100_000).alias("_b")).collect()}
-        bdf = spark.createDataFrame([(k, b) for k, b in bounds.items()],
-                                    "_t long, _bounds array<double>")
-        hist = (inb.where(F.col("_t").isin(ids))
-                .join(F.broadcast(bdf), "_t")
-                .withColumn("_k", F.size(F.filter("_bounds", lambda b: b < F.col("_v"))))
-                .groupBy("_t", "_k")
+        sub = inb.where(F.col("_b").isin(list(big)))
+        bounds = {r["_b"]: sorted(set(r["_q"])) for r in
+                  sub.groupBy("_b").agg(F.percentile_approx("_v", probs, 10_000).alias("_q")).collect()}
+        hist = (sub.withColumn("_k", _bucket_expr(bounds, F.col("_b"), F.col("_v")))
+                .groupBy("_b", "_k")
                 .agg(F.count("*").alias("n"), F.min("_v").alias("mn"), F.max("_v").alias("mx"))
                 .collect())
-        by_t: dict = {}
+        per: dict = {}
         for row in hist:
-            by_t.setdefault(row["_t"], []).append((row["_k"], row["n"], row["mn"], row["mx"]))
-        new_open = []
-        counts = {}
-        for t in big:
-            g, t_id, lo, hi, r = t
-            b = bounds[t_id]
-            below = 0
-            for k, n, mn, mx in sorted(by_t[t_id]):
-                if r < below + n:
-                    if mn == mx:
-                        result[keys[t_id]] = mn
-                    else:
-                        new_lo = b[k - 1] if k > 0 else lo
-                        new_hi = b[k] if k < len(b) else hi
-                        new_open.append([g, t_id, new_lo, new_hi, r - below])
-                        counts[t_id] = n
-                    break
-                below += n
-        open_t = new_open
-    if open_t:
+            per.setdefault(row["_b"], []).append((row["_k"], row["n"], row["mn"], row["mx"]))
+        new_brackets = {}
+        for b, (g, lo, hi, cnt, targets, _) in big.items():
+            qb = bounds[b]
+            cells = sorted(per.get(b, []))
+            for key, r in targets:
+                below = 0
+                for k, n, mn, mx in cells:
+                    if r < below + n:
+                        if mn == mx:
+                            result[key] = mn
+                        else:
+                            nlo = qb[k - 1] if k > 0 else lo
+                            nhi = qb[k] if k < len(qb) else hi
+                            # merge targets that land in the same new bracket
+                            found = None
+                            for nb, x in new_brackets.items():
+                                if x[0] == g and x[1] == nlo and x[2] == nhi:
+                                    found = nb
+                            if found is None:
+                                found = bid
+                                bid += 1
+                                new_brackets[found] = (g, nlo, nhi, n, [], n == cnt)
+                            new_brackets[found][4].append((key, r - below))
+                        break
+                    below += n
+        brackets = new_brackets
+    if brackets:
         raise RuntimeError("quantile refinement did not converge")
     return result
 
 
-def exact_quantiles(df: DataFrame, columns, probs, **kw) -> dict:
+def exact_quantiles(df: DataFrame, columns, probs, persist: bool = False, **kw) -> dict:
     """``{column: [q(p) for p in probs]}`` exact, linear interpolation, nulls/NaN skipped.
 
     All columns are handled in the same passes (unpivoted to one long table).
     """
     columns = list(columns)
-    # the values are read by several small jobs: keep them (memory, then
-    # disk; a lost block is recomputed from lineage)
     long = (df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
             .unpivot([], columns, "_g", "_v")
-            .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
+            .where(F.col("_v").isNotNull() & ~F.isnan("_v")))
+    if not persist:
+        return _exact_quantiles(long, columns, probs, **kw)
+    # an expensive input is read by several small jobs: keep it (memory,
+    # then disk; a lost block is recomputed from lineage)
+    long = long.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _exact_quantiles(long, columns, probs, **kw)
     finally:
