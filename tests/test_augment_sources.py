@@ -64,3 +64,18 @@ def test_record_files(spark):
     got = load_record_files(spark, d).collect()
     assert len(got) == 5
     assert {(r.RecordID, r.Parameter) for r in got} >= {(132539, "HR"), (132540, "Age"), (132540, "RecordID")}
+
+
+def test_streaming_grid_ingestion(spark):
+    from wardline.streaming import start_grid_ingestion
+    src = tempfile.mkdtemp(prefix="wardline-src-")
+    out = tempfile.mkdtemp(prefix="wardline-out-")
+    ck = tempfile.mkdtemp(prefix="wardline-ck-")
+    for rid in (1, 2):
+        with open(os.path.join(src, f"{rid}.txt"), "w") as fh:
+            fh.write(f"Time,Parameter,Value\n00:00,RecordID,{rid}\n00:10,HR,80\n01:30,HR,90\n")
+    q = start_grid_ingestion(spark, src, os.path.join(out, "grid"), ck, available_now=True)
+    q.awaitTermination(300)
+    grid = spark.read.parquet(os.path.join(out, "grid"))
+    assert grid.count() == 98
+    assert grid.where("RecordID = 2 AND Time = 1").first().HR == 80.0

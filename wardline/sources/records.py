@@ -37,14 +37,23 @@ def load_record_files(spark: SparkSession, path: str, id_param: str = "RecordID"
            .option("pathGlobFilter", "*.txt")
            .option("recursiveFileLookup", True)
            .csv(path)
-           .withColumn("_file", F.col("_metadata.file_path"))
-           .withColumn("_row", F.monotonically_increasing_id())
+           .withColumn("_file", F.col("_metadata.file_path")))
+    return attach_record_ids(raw, id_param, id_col, small=len(raw.inputFiles()) <= BROADCAST_MAX_FILES)
+
+
+def attach_record_ids(raw: DataFrame, id_param: str = "RecordID", id_col: str = "RecordID",
+                      small: bool = False) -> DataFrame:
+    """Attach to every row the value of its file's first ``id_param`` row.
+
+    ``raw`` holds ``Time, Parameter, Value, _file``.  The per-file table is
+    broadcast when the caller knows the file count is small, shuffle-joined
+    otherwise (AQE splits a skewed file)."""
+    raw = (raw.withColumn("_row", F.monotonically_increasing_id())
            .withColumn("Value", nan_to_null("Value")))
     ids = (raw.where(F.col("Parameter") == id_param)
            .groupBy("_file")
            .agg(F.min_by("Value", "_row").alias(id_col)))
-    n_files = len(raw.inputFiles())
-    if n_files <= BROADCAST_MAX_FILES:
+    if small:
         ids = F.broadcast(ids)
     return (raw.join(ids, "_file", "inner")
             .select(F.col(id_col).cast("long").alias(id_col), "Parameter", "Time", "Value"))
