@@ -132,18 +132,20 @@ def length_stats(lengths: DataFrame, column: str = "length",
     return out
 
 
-def null_and_distinct_counts(df: DataFrame, columns=None) -> DataFrame:
+def null_and_distinct_counts(df: DataFrame, columns=None, digits: int | None = None) -> DataFrame:
     """P11 + P12: per column the number of nulls (NaN included) and of distinct
     values, where a missing value counts as one more distinct value when
-    present (pandas ``nunique(dropna=False)``).  One aggregate."""
+    present (pandas ``nunique(dropna=False)``).  One aggregate.  ``digits``
+    counts floating values as distinct at that decimal resolution."""
     columns = list(columns or df.columns)
     aggs = []
     for c in columns:
         col = _q(c)
         t = dict(df.dtypes)[c]
         miss = (col.isNull() | F.isnan(col)) if t in ("double", "float") else col.isNull()
+        key = F.round(col, digits) if (digits is not None and t in ("double", "float")) else col
         aggs.append(F.count_if(miss).alias(f"n_{c}"))
-        aggs.append(F.count_distinct(F.when(~miss, col)).alias(f"d_{c}"))
+        aggs.append(F.count_distinct(F.when(~miss, key)).alias(f"d_{c}"))
     wide = df.agg(*aggs)
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"`n_{c}`").alias("n_null"),
                      (F.col(f"`d_{c}`") + F.when(F.col(f"`n_{c}`") > 0, 1).otherwise(0)).alias("n_distinct"))

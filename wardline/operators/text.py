@@ -47,11 +47,14 @@ def feature_to_text(feature: str, descriptions: dict) -> str:
     return f"{stat} {shown}"
 
 
-def round_half_even(c, digits: int = 2):
+def round_half_even(c, digits: int = 2, guard_digits: int = 9):
     """Half-even rounding in binary floating point: ``rint(x * 10^d) / 10^d``
-    (keeps the sign of a negative zero, like Python's ``round``)."""
+    (keeps the sign of a negative zero, like Python's ``round``).  The value
+    is first rounded to ``guard_digits`` so that summation-order noise in the
+    last bits of a mean cannot flip a tie."""
     scale = float(10 ** digits)
-    return F.rint(c.cast("double") * F.lit(scale)) / F.lit(scale)
+    x = F.round(c.cast("double"), guard_digits)
+    return F.rint(x * F.lit(scale)) / F.lit(scale)
 
 
 def summary_column(features, descriptions: dict, digits: int = 2):

@@ -157,8 +157,8 @@ def q_entity_grouped_mean(spark, sf_dir):
 @register("grid_null_counts",
           f"WITH {SQL_GRID_CTE}\n" + " UNION ALL ".join(
               f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE \"{c}\" IS NULL) AS n_null, "
-              f"count(DISTINCT \"{c}\") + CASE WHEN count(*) FILTER (WHERE \"{c}\" IS NULL) > 0 THEN 1 ELSE 0 END "
+              f"count(DISTINCT {'round(' + chr(34) + c + chr(34) + ', 9)' if c not in ('RecordID', 'Time') else chr(34) + c + chr(34)}) + CASE WHEN count(*) FILTER (WHERE \"{c}\" IS NULL) > 0 THEN 1 ELSE 0 END "
               f"AS n_distinct FROM grid" for c in ["RecordID", "Time"] + V.grid_vars))
 def q_grid_null_counts(spark, sf_dir):
     """P11 + P12: missing and distinct counts per grid column."""
-    return null_and_distinct_counts(events_grid_df(spark, sf_dir))
+    return null_and_distinct_counts(events_grid_df(spark, sf_dir), digits=9)

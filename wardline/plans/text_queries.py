@@ -26,7 +26,7 @@ _FEATS_SQL = ("feats AS (SELECT RecordID, " + ", ".join(
 
 _SUMMARY_SQL = "concat_ws('. ', " + ", ".join(
     f"CASE WHEN \"{f}\" IS NOT NULL THEN {_sql_str(feature_to_text(f, V.descriptions) + ' ')} || "
-    f"CAST(round_even(CAST(\"{f}\" AS DOUBLE), 2) AS VARCHAR) END" for f in FEATURES) + ") || '.'"
+    f"CAST(round_even(round(CAST(\"{f}\" AS DOUBLE), 9), 2) AS VARCHAR) END" for f in FEATURES) + ") || '.'"
 
 SQL_SUMMARIES_CTE = f"{SQL_GRID_CTE}, {_FEATS_SQL},\n  summ AS (SELECT RecordID, {_SUMMARY_SQL} AS summary FROM feats)"
 
