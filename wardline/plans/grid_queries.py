@@ -9,6 +9,7 @@ from wardline.operators.features import fill_features, mean_features, stat_featu
 from wardline.operators.grid import aggregate_duplicates, pivot_records, time_grid
 from wardline.operators.impute import ffill_and_fill
 from wardline.plans.registry import register, rounded, r
+from wardline.session import cut_lineage
 from wardline.sources.tables import events_as_records, read_table
 from wardline.vocab import EVENTS, EVENTS_BIN_MINUTES, EVENTS_N_BINS, EVENTS_ORIGIN
 
@@ -25,6 +26,13 @@ def events_grid_df(spark: SparkSession, sf_dir: str) -> DataFrame:
                      n_bins=EVENTS_N_BINS)
 
 
+def events_grid_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid, materialised once (reliable checkpoint) for queries that fit
+    on it and then apply the fit: the fit's jobs and the final job read the
+    stored grid instead of recomputing it from the events."""
+    return cut_lineage(events_grid_df(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- SQL text
 _MINUTE = (f"CAST(floor((epoch_us(ts) - epoch_us(TIMESTAMP '{EVENTS_ORIGIN}')) / 60000000.0) AS BIGINT)")
 _HHMM = ("(CASE WHEN m // 60 < 10 THEN '0' ELSE '' END) || CAST(m // 60 AS VARCHAR) || ':' || "
@@ -183,7 +191,7 @@ def q_events_grid(spark, sf_dir):
 @register("grid_filled", SQL_FILLED_GRID)
 def q_grid_filled(spark, sf_dir):
     """W1 + W2: forward fill per entity, then the median of the un-filled grid."""
-    grid = events_grid_df(spark, sf_dir)
+    grid = events_grid_table(spark, sf_dir)
     return rounded(ffill_and_fill(grid, grid, V.grid_vars))
 
 
@@ -191,7 +199,7 @@ def q_grid_filled(spark, sf_dir):
 def q_entity_stat_features(spark, sf_dir):
     """A8 + A9 (+ P15): per-entity mean/std/max/min/skew, median filled."""
     grid = events_grid_df(spark, sf_dir)
-    feats = stat_features(grid, V.series_vars, V.model_static_vars)
+    feats = cut_lineage(stat_features(grid, V.series_vars, V.model_static_vars))
     filled, _, _ = fill_features(feats, {})
     return rounded(filled)
 
@@ -200,6 +208,6 @@ def q_entity_stat_features(spark, sf_dir):
 def q_entity_mean_features(spark, sf_dir):
     """A7 + A9: per-entity series means and first statics, median filled."""
     grid = events_grid_df(spark, sf_dir)
-    feats = mean_features(grid, V.series_vars, V.model_static_vars)
+    feats = cut_lineage(mean_features(grid, V.series_vars, V.model_static_vars))
     filled, _, _ = fill_features(feats, {})
     return rounded(filled)

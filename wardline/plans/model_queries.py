@@ -23,7 +23,8 @@ from wardline.operators.ml import (
 from wardline.operators.sample import stratified_sample, weighted_sample_with_replacement
 from wardline.operators.scale import apply_minmax, fit_minmax
 from wardline.operators.tuples import pack_grid
-from wardline.plans.grid_queries import V, events_grid_df
+from wardline.plans.grid_queries import V, events_grid_df, events_grid_table
+from wardline.session import cut_lineage
 from wardline.plans.registry import register, rounded
 from wardline.plans.tuple_queries import TIME_RANGE, events_tuples_df
 from wardline.sources.tables import embeddings_as_vectors, events_outcomes, labels_as_outcomes, read_table
@@ -32,8 +33,8 @@ SEED = 7
 
 
 def _grid_tensor(spark, sf_dir):
-    grid = events_grid_df(spark, sf_dir)
-    filled = ffill_and_fill(grid, grid, V.grid_vars)
+    grid = events_grid_table(spark, sf_dir)
+    filled = cut_lineage(ffill_and_fill(grid, grid, V.grid_vars))
     scaled = apply_minmax(filled, fit_minmax(filled, V.grid_vars))
     return pack_grid(scaled, V.grid_vars)
 
@@ -43,7 +44,7 @@ def _labels(spark, sf_dir):
 
 
 def _entity_features(spark, sf_dir):
-    feats = stat_features(events_grid_df(spark, sf_dir), V.series_vars, V.model_static_vars)
+    feats = cut_lineage(stat_features(events_grid_df(spark, sf_dir), V.series_vars, V.model_static_vars))
     filled, _, _ = fill_features(feats, {})
     out = events_outcomes(read_table(spark, sf_dir, "events", columns=["user_id", "event_type", "value"]))
     return filled.join(out, "RecordID")

@@ -17,9 +17,10 @@ from wardline.operators.tuples import (
     sequence_lengths, split_triplets,
 )
 from wardline.plans.grid_queries import (
-    SQL_GRID_CTE, SQL_RECORDS, V, _STAT_NAMES, _stat_sql, events_grid_df, events_records,
+    SQL_GRID_CTE, SQL_RECORDS, V, _STAT_NAMES, _stat_sql, events_grid_df, events_grid_table, events_records,
 )
 from wardline.plans.registry import r, register, rounded
+from wardline.session import cut_lineage
 from wardline.sources.tables import labels_as_outcomes, read_table
 from wardline.vocab import EVENTS_BIN_MINUTES, EVENTS_N_BINS, ICU_MAX_SEQ_LEN
 
@@ -99,7 +100,8 @@ FROM packed CROSS JOIN mx""")
 def q_padded_triplets(spark, sf_dir):
     """E2 second half: scale (A22, F4) -> index (A24, J7) -> pack (A6) -> truncate
     (Y1) -> split (Y2) -> pad and mask (Y3)."""
-    tup = events_tuples_df(spark, sf_dir)
+    # fit (scaler, index, pad length) and apply all read the tuples: store them once
+    tup = cut_lineage(events_tuples_df(spark, sf_dir))
     scaled = apply_param_minmax(tup.withColumn("tm", F.col("Time")), fit_param_minmax(tup),
                                 time_range=TIME_RANGE)
     indexed = apply_modality_map(scaled, fit_modality_map(tup))
@@ -126,7 +128,8 @@ SELECT {r('"min"')} AS "min", {r('"max"')} AS "max", {r('mean')} AS mean, n,
 FROM s""")
 def q_sequence_length_stats(spark, sf_dir):
     """A18 + A19: tuple counts per entity -> exact percentiles and padding suggestions."""
-    return rounded(length_stats(sequence_lengths(events_tuples_df(spark, sf_dir))))
+    lengths = cut_lineage(sequence_lengths(events_tuples_df(spark, sf_dir)))  # one row per entity
+    return rounded(length_stats(lengths))
 
 
 _GRID_VARS_SCALED = [v for v in V.grid_vars]
@@ -146,8 +149,8 @@ SELECT RecordID, list(list_transform([{", ".join(
 FROM filled f CROSS JOIN mm GROUP BY RecordID""")
 def q_grid_tensor(spark, sf_dir):
     """W1 + W2 -> F3 (min-max fitted on the filled training grid) -> A4 (time x feature arrays)."""
-    grid = events_grid_df(spark, sf_dir)
-    filled = ffill_and_fill(grid, grid, V.grid_vars)
+    grid = events_grid_table(spark, sf_dir)
+    filled = cut_lineage(ffill_and_fill(grid, grid, V.grid_vars))
     scaled = apply_minmax(filled, fit_minmax(filled, V.grid_vars))
     return rounded(pack_grid(scaled, V.grid_vars))
 
@@ -162,7 +165,7 @@ SELECT RecordID, {", ".join(
 FROM feats f CROSS JOIN st""")
 def q_standard_scaled_features(spark, sf_dir):
     """A23 + F5: per-entity features standardised with population std (nulls kept)."""
-    feats = stat_features(events_grid_df(spark, sf_dir), V.series_vars, V.model_static_vars)
+    feats = cut_lineage(stat_features(events_grid_df(spark, sf_dir), V.series_vars, V.model_static_vars))
     cols = [c for c in feats.columns if c != "RecordID"]
     return rounded(apply_standard(feats, fit_standard(feats, cols)))
 
