@@ -6,6 +6,8 @@ counts, and ``tests/`` checks their properties by brute force.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from wardline.operators.augment import (
@@ -23,10 +25,10 @@ from wardline.operators.ml import (
 from wardline.operators.sample import stratified_sample, weighted_sample_with_replacement
 from wardline.operators.scale import apply_minmax, fit_minmax
 from wardline.operators.tuples import pack_grid
-from wardline.plans.grid_queries import V, events_grid_df, events_grid_table
+from wardline.plans.grid_queries import SQL_GRID_CTE, V, events_grid_df, events_grid_table
 from wardline.session import cut_lineage
 from wardline.plans.registry import register, rounded
-from wardline.plans.tuple_queries import TIME_RANGE, events_tuples_df
+from wardline.plans.tuple_queries import SQL_TUPLES_CTE, TIME_RANGE, events_tuples_df
 from wardline.sources.tables import embeddings_as_vectors, events_outcomes, labels_as_outcomes, read_table
 
 SEED = 7
@@ -92,15 +94,44 @@ def q_triplet_views(spark, sf_dir):
     return rounded(triplet_views(packed, seed=SEED))
 
 
-@register("tuple_time_encoding")
+_D_ENC = 16
+_SQL_TIME_ENC = (f"WITH {SQL_TUPLES_CTE}\nSELECT RecordID, Parameter, Time, list_transform(range(0, {_D_ENC}), "
+                 f"lambda j: round(CASE WHEN j % 2 = 0 THEN sin((Time / {TIME_RANGE}) * exp((j - j % 2) * "
+                 f"({-math.log(10000.0) / _D_ENC!r}))) ELSE cos((Time / {TIME_RANGE}) * exp((j - j % 2) * "
+                 f"({-math.log(10000.0) / _D_ENC!r}))) END, 6)) AS encoding FROM tuples")
+
+
+@register("tuple_time_encoding", _SQL_TIME_ENC)
 def q_tuple_time_encoding(spark, sf_dir):
     """Sinusoidal encoding (width 16) of every tuple's scaled time."""
     tup = events_tuples_df(spark, sf_dir)
     return rounded(tup.select("RecordID", "Parameter", "Time",
-                              time_encoding(F.col("Time") / F.lit(TIME_RANGE), 16).alias("encoding")))
+                              time_encoding(F.col("Time") / F.lit(TIME_RANGE), _D_ENC).alias("encoding")))
+
+
+def _pe_sql(t: str, j: int, d: int) -> str:
+    w = f"exp({j - j % 2} * ({-math.log(10000.0) / d!r}))"
+    return f"sin({t} * {w})" if j % 2 == 0 else f"cos({t} * {w})"
+
+
+_GV = V.grid_vars
+_SQL_POOLED = f"""WITH {SQL_GRID_CTE},
+  med AS (SELECT {", ".join(f'median("{v}") AS "{v}"' for v in _GV)} FROM grid),
+  ff AS (SELECT RecordID, Time, {", ".join(
+      f'last_value("{v}" IGNORE NULLS) OVER (PARTITION BY RecordID ORDER BY Time ROWS BETWEEN '
+      f'UNBOUNDED PRECEDING AND CURRENT ROW) AS "{v}"' for v in _GV)} FROM grid),
+  filled AS (SELECT RecordID, Time, {", ".join(f'coalesce(ff."{v}", med."{v}") AS "{v}"' for v in _GV)}
+             FROM ff CROSS JOIN med),
+  mm AS (SELECT {", ".join(f'min("{v}") AS "mn_{v}", max("{v}") AS "mx_{v}"' for v in _GV)} FROM filled),
+  sc AS (SELECT RecordID, Time, {", ".join(
+      f'(f."{v}" - "mn_{v}") / CASE WHEN "mx_{v}" > "mn_{v}" THEN "mx_{v}" - "mn_{v}" ELSE 1.0 END AS "{v}"'
+      for v in _GV)} FROM filled f CROSS JOIN mm)
+SELECT RecordID, [{", ".join(
+    f'round(avg("{v}" + {_pe_sql("CAST(Time AS DOUBLE)", j, len(_GV))}), 6)' for j, v in enumerate(_GV))}] AS pooled
+FROM sc GROUP BY RecordID"""
 
 
-@register("pooled_grid")
+@register("pooled_grid", _SQL_POOLED)
 def q_pooled_grid(spark, sf_dir):
     """Y10 + Y12: positional encoding added to each time step, mean pooled over time."""
     g = _grid_tensor(spark, sf_dir)
