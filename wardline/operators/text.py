@@ -108,8 +108,9 @@ def prompts(summ: DataFrame, examples: DataFrame, id_col: str = "RecordID") -> D
 
 
 def clean_response(chunks_col: str) -> "F.Column":
-    """concatenate reply chunks and trim."""
-    return F.trim(F.array_join(F.col(chunks_col), ""))
+    """concatenate reply chunks and strip surrounding whitespace
+    (newlines included, like Python's ``strip``)."""
+    return F.regexp_replace(F.array_join(F.col(chunks_col), ""), r"^\s+|\s+$", "")
 
 
 def response_score(text_col: str):
