@@ -74,3 +74,11 @@ def test_weighted_draws(spark):
     out = weighted_sample_with_replacement(df, 2000, seed=3).toPandas()
     assert len(out) == 2000
     assert 0.4 < out["label"].mean() < 0.6  # classes drawn equally often
+
+
+def test_dense_index_by_class_is_a_permutation(spark):
+    from wardline.operators.sample import dense_index_by_class
+    df = spark.createDataFrame([(i, i % 3) for i in range(500)], "RecordID long, label int")
+    out = dense_index_by_class(df, rows_per_group=40).toPandas()
+    for lab, g in out.groupby("label"):
+        assert sorted(g["_idx"]) == list(range(1, len(g) + 1))

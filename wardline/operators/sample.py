@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wardline.functions.randomness import hash_uniform
+from wardline.operators.common import broadcast_if_bounded
 
 
 def class_counts(df: DataFrame, label_col: str = "label") -> DataFrame:
@@ -38,7 +39,7 @@ def with_sample_weight(df: DataFrame, label_col: str = "label", kind: str = "inv
     """Per-row weight from the class table (broadcast: one row per class)."""
     w = class_weights(df, label_col)
     col = {"inverse": "inverse_weight", "balanced": "balanced_weight"}[kind]
-    return df.join(F.broadcast(w.select(label_col, F.col(col).alias(out_col))), label_col, "left")
+    return df.join(broadcast_if_bounded(w.select(label_col, F.col(col).alias(out_col))), label_col, "left")
 
 
 def positive_counts(df: DataFrame, group_col: str = "split", label_col: str = "label") -> DataFrame:
@@ -65,19 +66,42 @@ def stratified_sample(df: DataFrame, n: int, seed: int = 0, label_col: str = "la
                       id_col: str = "RecordID") -> DataFrame:
     """M1 (W7): exactly ``n`` rows, classes in proportion (largest remainder).
 
-    Rows are ranked inside their class by a hash of (seed, id); the rank
-    filter ``<= quota`` runs as a group limit before the shuffle, so a
-    class holding most rows only ships its first ``quota`` rows per task.
+    Rows are ranked inside their class by a hash of (seed, id).  The rank
+    filter uses the largest quota as a literal, which Spark runs as a group
+    limit before the shuffle (each task ships at most that many rows per
+    class), then the exact per-class quota is applied.
     """
     quota = stratified_quota(df, n, label_col)
+    q_rows = quota.collect()  # one row per class
+    max_q = max([r["quota"] for r in q_rows] or [0])
     w = Window.partitionBy(label_col).orderBy(hash_uniform(seed, id_col), id_col)
-    ranked = df.withColumn("_rank", F.row_number().over(w))
-    # one row per class: broadcast
-    return (ranked.join(F.broadcast(quota), label_col)
+    ranked = df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= F.lit(int(max_q)))
+    quota_local = df.sparkSession.createDataFrame(q_rows, quota.schema)
+    return (ranked.join(broadcast_if_bounded(quota_local), label_col)
             .where(F.col("_rank") <= F.col("quota"))
             .drop("_rank", "quota"))
 
 
+def dense_index_by_class(df: DataFrame, label_col: str = "label", id_col: str = "RecordID", seed: int = 0,
+                         class_sizes: dict | None = None, rows_per_group: int = 1_000_000) -> DataFrame:
+    """Index ``1..n_c`` inside each class in hash order, without holding a
+    class in one task: rows fall into hash buckets (about ``rows_per_group``
+    rows each), get a row number inside (class, bucket), and add the count of
+    the buckets before theirs (a table of classes x buckets rows)."""
+    if class_sizes is None:
+        class_sizes = {r[label_col]: r["n"] for r in class_counts(df, label_col).collect()}
+    n_b = max(1, -(-max(class_sizes.values() or [1]) // rows_per_group))
+    u = hash_uniform(seed, id_col)
+    d = df.withColumn("_u", u).withColumn("_bk", F.least(F.floor(F.col("_u") * n_b), F.lit(n_b - 1)).cast("int"))
+    counts = d.groupBy(label_col, "_bk").agg(F.count(F.lit(1)).alias("_c"))
+    w_off = Window.partitionBy(label_col).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(label_col, "_bk", F.coalesce(F.sum("_c").over(w_off), F.lit(0)).alias("_off"))
+    w_in = Window.partitionBy(label_col, "_bk").orderBy("_u", id_col)
+    return (d.join(broadcast_if_bounded(offsets), [label_col, "_bk"])
+            .withColumn("_idx", (F.col("_off") + F.row_number().over(w_in)).cast("long"))
+            .drop("_u", "_bk", "_off"))
+
+
 def weighted_sample_with_replacement(df: DataFrame, n_draws: int, seed: int = 0,
                                      label_col: str = "label", id_col: str = "RecordID") -> DataFrame:
     """M2: ``n_draws`` draws with replacement, each row weighted by ``1/n_class``
@@ -106,6 +130,5 @@ def weighted_sample_with_replacement(df: DataFrame, n_draws: int, seed: int = 0,
              .withColumn("_idx", F.floor(hash_uniform(seed, "draw", F.lit(1))
                                          * F.element_at(size_arr, F.col("_ci") + 1)).cast("long") + 1)
              .drop("_ci"))
-    w = Window.partitionBy(label_col).orderBy(hash_uniform(seed, id_col), id_col)
-    indexed = df.withColumn("_idx", F.row_number().over(w).cast("long"))
+    indexed = dense_index_by_class(df, label_col, id_col, seed, dict(zip(labels, sizes)))
     return draws.join(indexed, [label_col, "_idx"]).drop("_idx")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardline.operators.common import broadcast_if_bounded
 from wardline.vocab import ICU_TIME_SCALE_MINUTES
 
 BROADCAST_MAX_PARAMS = 100_000
@@ -72,12 +73,8 @@ def apply_param_minmax(df: DataFrame, fitted: DataFrame, param_col: str = "Param
                        time_range: float = ICU_TIME_SCALE_MINUTES) -> DataFrame:
     """F4 + J8: value scaled with its parameter's training min/max (parameters
     unseen in training get a null value), time divided by the fixed range."""
-    rows = fitted.limit(BROADCAST_MAX_PARAMS + 1).collect()
-    if len(rows) <= BROADCAST_MAX_PARAMS:
-        # the fit ran once; its few rows are shipped back as a broadcast table
-        side = F.broadcast(df.sparkSession.createDataFrame(rows, fitted.schema))
-    else:
-        side = fitted
+    # the fit runs once; its rows come back as a broadcast table when few
+    side = broadcast_if_bounded(fitted, BROADCAST_MAX_PARAMS)
     rng = F.when(F.col("_mx") > F.col("_mn"), F.col("_mx") - F.col("_mn")).otherwise(F.lit(1.0))
     return (df.join(side, param_col, "left")
             .withColumn(value_col, (F.col(value_col) - F.col("_mn")) / rng)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wardline.functions.timefmt import hhmm_to_minutes
+from wardline.operators.common import broadcast_if_bounded
 from wardline.operators.quality import apply_long_rules
 from wardline.vocab import ICU, ICU_MAX_SEQ_LEN, ICU_PAD_INDEX, Vocabulary
 
@@ -67,8 +68,8 @@ def vocabulary_size(modality_map: DataFrame) -> int:
 def apply_modality_map(df: DataFrame, modality_map: DataFrame, param_col: str = "Parameter",
                        out_col: str = "z") -> DataFrame:
     """Parameter -> index, unmapped parameters get null.  The map has one
-    row per parameter seen in training, so it is broadcast."""
-    return df.join(F.broadcast(modality_map.select(param_col, F.col("z").alias(out_col))),
+    row per parameter seen in training; it is broadcast after a size check."""
+    return df.join(broadcast_if_bounded(modality_map.select(param_col, F.col("z").alias(out_col))),
                    param_col, "left")
 
 
