@@ -95,21 +95,33 @@ def select_ranks(values: DataFrame, group_col: str, value_col: str, wanted: dict
         if any(x[3] is None for x in brackets.values()):
             got = {r["_b"]: r["n"] for r in inb.groupBy("_b").agg(F.count("*").alias("n")).collect()}
             brackets = {b: (x[0], x[1], x[2], got.get(b, 0), x[4], x[5]) for b, x in brackets.items()}
-        stuck = {b: x for b, x in brackets.items() if x[5] and x[3] > max_exact}
+        stuck = {b: x for b, x in brackets.items() if x[5] is not False and x[3] > max_exact}
         if stuck:
             # heavy ties: the approximate bounds cannot split the bracket, so
-            # count each distinct value (few, or the bounds would have split)
-            vc = (inb.where(F.col("_b").isin(list(stuck))).groupBy("_b", "_v").agg(F.count("*").alias("n"))
-                  .groupBy("_b").agg(F.sort_array(F.collect_list(F.struct("_v", "n"))).alias("_vc")).collect())
-            for row in vc:
-                cells = row["_vc"]
-                for key, r in stuck[row["_b"]][4]:
-                    below = 0
-                    for cell in cells:
-                        if r < below + cell["n"]:
-                            result[key] = cell["_v"]
-                            break
-                        below += cell["n"]
+            # split it three ways around its heavy value v (recorded with the
+            # bracket): below v, equal to v, above v -- one aggregate, three
+            # numbers per bracket.
+            heavy = {b: x[5] for b, x in stuck.items()}
+            hv = None
+            for b, v_star in heavy.items():
+                hv = (F.when(F.col("_b") == F.lit(b), F.lit(float(v_star))) if hv is None
+                      else hv.when(F.col("_b") == F.lit(b), F.lit(float(v_star))))
+            split = {r["_b"]: (r["lt"], r["eq"]) for r in
+                     inb.where(F.col("_b").isin(list(stuck))).withColumn("_h", hv)
+                     .groupBy("_b").agg(F.count_if(F.col("_v") < F.col("_h")).alias("lt"),
+                                        F.count_if(F.col("_v") == F.col("_h")).alias("eq")).collect()}
+            for b, (g, lo, hi, cnt, targets, v_star) in stuck.items():
+                lt, eq = split.get(b, (0, 0))
+                for key, r in targets:
+                    if lt <= r < lt + eq:
+                        result[key] = float(v_star)
+                        continue
+                    if r < lt:
+                        nb = (g, lo, math.nextafter(float(v_star), -math.inf), lt, [(key, r)], False)
+                    else:
+                        nb = (g, float(v_star), hi, cnt - lt - eq, [(key, r - lt - eq)], False)
+                    brackets[bid] = nb
+                    bid += 1
             brackets = {b: x for b, x in brackets.items() if b not in stuck}
         small = {b: x for b, x in brackets.items() if x[3] <= max_exact}
         big = {b: x for b, x in brackets.items() if x[3] > max_exact}
@@ -158,7 +170,9 @@ def select_ranks(values: DataFrame, group_col: str, value_col: str, wanted: dict
                             if found is None:
                                 found = bid
                                 bid += 1
-                                new_brackets[found] = (g, nlo, nhi, n, [], n == cnt)
+                                # no progress: remember the likely heavy value for a 3-way split
+                                heavy_v = (qb[len(qb) // 2] if qb else mx) if n == cnt else False
+                                new_brackets[found] = (g, nlo, nhi, n, [], heavy_v)
                             new_brackets[found][4].append((key, r - below))
                         break
                     below += n
