@@ -49,6 +49,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: checkpoints must survive "
+                               "the loss of any executor")
+        # local runs only (tests, benchmarks): a private folder on this machine
         configured = tempfile.mkdtemp(prefix="wardline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
