@@ -123,9 +123,9 @@ def densify_and_propagate(sparse: DataFrame, vocab: Vocabulary = ICU, id_col: st
     """J6 + W3: every id gets all ``n_bins`` rows (missing bins all null);
     each static takes its first non-null value in time order on every row.
 
-    Grouped by id over at most ``n_bins`` rows per id (bounded): the
-    dense rows come from ``sequence(0, n_bins-1)`` looked up in a bin map,
-    so no cross join and no second shuffle.
+    One shuffle by id, over at most ``n_bins`` rows per id (bounded): the
+    dense rows come from ``sequence(0, n_bins-1)`` looked up in a per-id bin
+    map, so there is no cross join with a skeleton and no join back.
     """
     value_vars = vocab.grid_vars
     row = F.struct(*[_q(v) for v in value_vars])
