@@ -133,17 +133,19 @@ def densify_and_propagate(sparse: DataFrame, vocab: Vocabulary = ICU, id_col: st
               .agg(F.map_from_entries(F.collect_list(F.struct(F.col(time_col), row))).alias("_m")))
     dense = F.transform(F.sequence(F.lit(0), F.lit(n_bins - 1)),
                         lambda t: F.struct(t.alias(time_col), F.try_element_at(F.col("_m"), t).alias("_r")))
-    exploded = per_id.select(F.col(id_col), F.col("_m"), F.inline(dense))
-    statics = {}
+    statics = []
     for s in vocab.static_vars:
-        # first non-null static value in bin order
+        # first non-null static value in bin order, once per id (before the rows are generated)
         firsts = F.filter(F.transform(F.sequence(F.lit(0), F.lit(n_bins - 1)),
                                       lambda t: F.try_element_at(F.col("_m"), t)[s]),
                           lambda x: x.isNotNull())
-        statics[s] = F.try_element_at(firsts, F.lit(1))
+        statics.append(F.try_element_at(firsts, F.lit(1)).alias(f"_s_{s}"))
+    exploded = (per_id.select(F.col(id_col), F.col("_m"), *statics)
+                .select(F.col(id_col), *[F.col(f"`_s_{s}`") for s in vocab.static_vars], F.inline(dense)))
     cols = [F.col(id_col), F.col(time_col)]
     for v in value_vars:
-        cols.append((statics[v] if v in statics else F.col("_r")[v]).cast("double").alias(v))
+        src = F.col(f"`_s_{v}`") if v in vocab.static_vars else F.col("_r")[v]
+        cols.append(src.cast("double").alias(v))
     return exploded.select(*cols)
 
 
