@@ -61,7 +61,7 @@ def _bucket_expr(bounds_by_bracket: dict, b, v):
 
 def select_ranks(values: DataFrame, group_col: str, value_col: str, wanted: dict,
                  max_exact: int = 50_000, n_buckets: int = 64, max_rounds: int = 16,
-                 group_counts: dict | None = None) -> dict:
+                 group_counts: dict | None = None, initial_bounds: dict | None = None) -> dict:
     """Exact value at 0-based rank ``r`` of each group, for ``wanted = {group: [r, ...]}``.
 
     Work is organised by *bracket* ``(group, lo, hi]``: all ranks that fall
@@ -140,8 +140,12 @@ def select_ranks(values: DataFrame, group_col: str, value_col: str, wanted: dict
             break
         probs = [i / n_buckets for i in range(1, n_buckets)]
         sub = inb.where(F.col("_b").isin(list(big)))
-        bounds = {r["_b"]: sorted(set(r["_q"])) for r in
-                  sub.groupBy("_b").agg(F.percentile_approx("_v", probs, 10_000).alias("_q")).collect()}
+        if initial_bounds and all(x[1] is None and x[2] is None and x[0] in initial_bounds for x in big.values()):
+            # whole groups: their bounds came with the counts (no extra pass)
+            bounds = {b: initial_bounds[x[0]] for b, x in big.items()}
+        else:
+            bounds = {r["_b"]: sorted(set(r["_q"])) for r in
+                      sub.groupBy("_b").agg(F.percentile_approx("_v", probs, 10_000).alias("_q")).collect()}
         hist = (sub.withColumn("_k", _bucket_expr(bounds, F.col("_b"), F.col("_v")))
                 .groupBy("_b", "_k")
                 .agg(F.count("*").alias("n"), F.min("_v").alias("mn"), F.max("_v").alias("mx"))
@@ -204,8 +208,14 @@ def exact_quantiles(df: DataFrame, columns, probs, persist: bool = False, **kw)
 
 def _exact_quantiles(long: DataFrame, columns, probs, **kw) -> dict:
     ns = {c: 0 for c in columns}
-    for r in long.groupBy("_g").agg(F.count("*").alias("n")).collect():
+    n_buckets = kw.get("n_buckets", 64)
+    probs_b = [i / n_buckets for i in range(1, n_buckets)]
+    first_bounds = {}
+    # counts and first bucket bounds of every column in one pass
+    for r in (long.groupBy("_g").agg(F.count("*").alias("n"),
+                                    F.percentile_approx("_v", probs_b, 10_000).alias("_q")).collect()):
         ns[r["_g"]] = r["n"]
+        first_bounds[r["_g"]] = sorted(set(r["_q"] or []))
     wanted, plan = {}, {}
     for c in columns:
         n = ns[c]
@@ -217,7 +227,8 @@ def _exact_quantiles(long: DataFrame, columns, probs, **kw) -> dict:
             r1 = min(r0 + 1, n - 1)
             plan[(c, p)] = (r0, r1, h - r0)
             wanted.setdefault(c, set()).update({r0, r1})
-    got = select_ranks(long, "_g", "_v", wanted, group_counts=ns, **kw) if wanted else {}
+    got = (select_ranks(long, "_g", "_v", wanted, group_counts=ns, initial_bounds=first_bounds, **kw)
+           if wanted else {})
     out = {}
     for c in columns:
         vals = []
