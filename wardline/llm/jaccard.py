@@ -234,9 +234,9 @@ def jaccard_classes(docs: DataFrame, similarity: float = 0.8, n: int = 5, recall
     keys = stored(keys, "keys")
     hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).where(F.col("size") > 1)
     member = stored(keys.join(hubs.select("key", "hub"), "key").select("rep", "hub").distinct(), "members")
-    above = member.groupBy(F.col("rep").alias("hub")).agg(F.min("hub").alias("top"))
+    # stored, so that both sides of the join are exchanges that Spark can split at a hot hub
+    above = stored(member.groupBy(F.col("rep").alias("hub")).agg(F.min("hub").alias("top")), "above")
     member = stored(member.join(above, "hub", "left").select("rep", F.coalesce("top", "hub").alias("hub")).distinct(), "members")
-    sizes = member.groupBy("hub").agg(F.count("*").alias("size")).where(F.col("size") > 1)
 
     # the full sets of the members, once each, then dealt to the block pairs
     mine = member.groupBy("rep").agg(F.array_sort(F.collect_set("hub")).alias("hubs"))
