@@ -42,6 +42,12 @@ def worker_cache() -> dict:
     return sys.modules[name].__dict__
 
 
+def values(column):
+    """The Python values of an Arrow array, one at a time."""
+    for x in column:
+        yield x.as_py()
+
+
 def text_or_empty(col: str = "text"):
     """A null text counts as an empty one."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

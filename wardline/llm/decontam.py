@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import fresh, sha, text_or_empty
+from wardline.llm.common import fresh, sha, text_or_empty, values
 from wardline.llm.textops import FOLD_TABLE
 from wardline.session import cut_lineage
 
@@ -209,7 +209,7 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, text
         @F.arrow_udf(SCAN)
         def scan(texts: pa.Array, before: pa.Array) -> pa.Array:
             auto, rows = sent.value, []
-            for t, old in zip(texts.to_pylist(), before.to_pylist(), strict=True):
+            for t, old in zip(values(texts), values(before), strict=True):
                 words = words_of(t)
                 starts, ends, longest, items = auto.scan(words) if auto else ([], [], 0, set())
                 if old is not None:
@@ -258,7 +258,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_c
 
         @F.arrow_udf("struct<text:string,keep:boolean>")
         def clean(texts: pa.Array) -> pa.Array:
-            return pa.array([cut(t, sent.value, max_coverage) for t in texts.to_pylist()],
+            return pa.array([cut(t, sent.value, max_coverage) for t in values(texts)],
                             pa.struct([("text", pa.string()), ("keep", pa.bool_())]))
 
         done = fresh(df, "_cut")

@@ -85,7 +85,7 @@ def describe(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     @F.arrow_udf("struct<_digest:binary,_grams:int,_keys:array<long>>")
     def sign(texts: pa.Array) -> pa.Array:
         digest, size, keys = [], [], []
-        for _, part in slices(texts.cast(pa.binary()).to_pylist(), 1 << 20):
+        for _, part in slices(texts):
             got = list(grams(part, n))
             full = [i for i, (s, _) in enumerate(got) if len(s)]
             sig = signatures([got[i][0] for i in full], bands, rows).view(np.int64) if full else None
@@ -245,7 +245,7 @@ def jaccard_classes(docs: DataFrame, similarity: float = 0.8, n: int = 5, recall
 
     @F.arrow_udf("struct<digest:binary,grams:binary>")
     def gram_sets(texts: pa.Array) -> pa.Array:
-        out = [{"digest": dg, "grams": s.tobytes()} for _, part in slices(texts.cast(pa.binary()).to_pylist(), 1 << 20) for s, dg in grams(part, n)]
+        out = [{"digest": dg, "grams": s.tobytes()} for _, part in slices(texts) for s, dg in grams(part, n)]
         return pa.array(out, pa.struct([("digest", pa.binary()), ("grams", pa.binary())]))
 
     sets = (source.join(who, "rep").withColumn("_g", gram_sets("_text")).where(F.col("_g.digest") == F.col("_digest"))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import sha, text_or_empty, worker_cache
+from wardline.llm.common import sha, text_or_empty, values, worker_cache
 
 #: the base kinds in their order, then the kinds that the method adds
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -133,7 +133,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", spans_col: str = "spans")
         automaton = cache.setdefault("pii", None) or cache.update(pii=anchors()) or cache["pii"]
         order = {k: i for i, k in enumerate(KINDS)}
         rows = []
-        for t in texts.to_pylist():
+        for t in values(texts):
             found = sorted(find_spans(t, automaton), key=lambda s: (order[s[0]], s[1]))
             rows.append([{"kind": k, "start": a, "end": b, "base": k in BASE_KINDS} for k, a, b in found])
         return pa.array(rows, _SPAN)

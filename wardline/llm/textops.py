@@ -9,6 +9,8 @@ as on characters.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: words of ``[^\x20\x09-\x0D]+``
 BLANK_WORDS = np.ones(256, bool)
@@ -82,13 +84,14 @@ def windows(h: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
-def slices(texts: list[bytes], limit: int = 4 << 20):
-    """Cut a batch into runs of texts of about ``limit`` bytes: (first, list)."""
-    first, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > limit:
-            yield first, texts[first:i]
-            first, size = i, 0
-        size += len(t) + 1
-    if first < len(texts):
-        yield first, texts[first:]
+def slices(texts: pa.Array | pa.ChunkedArray, limit: int = 1 << 20):
+    """Cut a batch into runs of texts of about ``limit`` bytes: (first, list of
+    bytes).  Only one run at a time is copied out of the Arrow buffers."""
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64) + 1
+    upto = np.cumsum(size)
+    first = 0
+    while first < len(size):
+        done = upto[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(upto, done + limit, "right")))
+        yield first, texts.slice(first, last - first).cast(pa.binary()).to_pylist()
+        first = last

@@ -68,34 +68,37 @@ def softplus(z):
     return np.logaddexp(0.0, z)
 
 
-def fit(texts: list[bytes], labels: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """Feature numbers, their weights and the intercept; full-batch Adam on
-    the weighted log-loss of the noisy-or."""
+def fit(texts: pa.Array, labels: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Feature numbers, their weights and the intercept.
+
+    A first pass counts the documents of each class that hold a feature and
+    chooses those that speak for the label; a second keeps only these; then
+    full-batch Adam on the weighted log-loss of the noisy-or."""
+    holds = np.zeros((2, 1 << BITS), np.int32)
+    for first, part in slices(texts):
+        f, s, d, _, _ = sentences(part)
+        pairs = np.sort((d[s][:, None] * (1 << BITS) + f).ravel())
+        in_doc, of = np.divmod(pairs[np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]], 1 << BITS)
+        for y in (0, 1):
+            np.add.at(holds[y], of[labels[first + in_doc] == y], 1)
+    n0, n1 = max(1, (labels == 0).sum()), max(1, (labels == 1).sum())
+    likely = np.flatnonzero((holds.sum(axis=0) >= MIN_DOCS) & (holds[1] * n0 > holds[0].astype(np.int64) * n1))
+    share0, share1 = holds[0, likely] / n0, holds[1, likely] / n1
+    pooled = np.clip((holds[0, likely] + holds[1, likely]) / (n0 + n1), 1e-9, 1 - 1e-9)
+    used = likely[share1 - share0 >= MIN_Z * np.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n0))]
+    del holds, likely, share0, share1, pooled
+    number = np.full(1 << BITS, -1, np.int32)
+    number[used] = np.arange(len(used))
     feats, sent, doc = [], [], []
     n_sent = 0
     for first, part in slices(texts):
         f, s, d, _, _ = sentences(part)
-        feats.append(f.ravel())
-        sent.append(np.repeat(s, f.shape[1]) + n_sent)
-        doc.append(d + first)
+        f, s = number[f].ravel(), np.repeat(s, f.shape[1])
+        feats.append(f[f >= 0])
+        sent.append((s[f >= 0] + n_sent).astype(np.int32))
+        doc.append((d + first).astype(np.int32))
         n_sent += len(d)
-    feats, sent, doc = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (feats, sent, doc))
-    pairs = np.sort(feats * (len(texts) + 1) + doc[sent])
-    pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]]
-    of, in_doc = np.divmod(pairs, len(texts) + 1)
-    df = np.bincount(of, minlength=1 << BITS)
-    toxic = labels[in_doc] == 1
-    share1 = np.bincount(of, weights=weight[in_doc] * toxic, minlength=1 << BITS) / max(weight[labels == 1].sum(), 1e-9)
-    share0 = np.bincount(of, weights=weight[in_doc] * ~toxic, minlength=1 << BITS) / max(weight[labels == 0].sum(), 1e-9)
-    n1, n0 = (labels == 1).sum(), (labels == 0).sum()
-    pooled = np.clip((share1 * n1 + share0 * n0) / (n1 + n0), 1e-9, 1 - 1e-9)
-    chosen = (df >= MIN_DOCS) & ((share1 - share0) >= MIN_Z * np.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n0)))
-    keep = chosen[feats]
-    feats, sent = feats[keep], sent[keep]
-    used = np.flatnonzero(chosen)
-    number = np.zeros(1 << BITS, np.int32)
-    number[used] = np.arange(len(used))
-    feats = number[feats]
+    feats, sent, doc = (np.concatenate(x) if x else np.zeros(0, np.int32) for x in (feats, sent, doc))
     w = np.zeros(len(used) + 1)  # the last is the intercept
     w[-1] = -5.0
     m, v = np.zeros_like(w), np.zeros_like(w)
@@ -135,14 +138,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     share = [counts.get(y, 0) / max(1, min(counts.get(y, 0), MAX_PER_CLASS)) for y in (0, 1)]
 
     def run(batches):
-        ys, xs = [], []
-        for b in batches:
-            ys += b.column(0).to_pylist()
-            xs += b.column(1).cast(pa.binary()).to_pylist()
-        # the batches come in any order
-        order = sorted(range(len(xs)), key=lambda i: (ys[i], xs[i]))
-        y = np.array([ys[i] for i in order], np.int64)
-        used, w, b0 = fit([xs[i] for i in order], y, np.array(share)[y]) if len(set(ys)) == 2 else (np.zeros(0, np.int64), np.zeros(0, np.float32), -5.0)
+        batches = list(batches)
+        held = pa.Table.from_batches(batches) if batches else None
+        used, w, b0 = np.zeros(0, np.int64), np.zeros(0, np.float32), -5.0
+        if held is not None and held.num_rows:
+            held = held.sort_by([("_y", "ascending"), ("_text", "ascending")])  # the batches come in any order
+            y = held.column("_y").to_numpy().astype(np.int64)
+            if y.min() < y.max():
+                used, w, b0 = fit(held.column("_text"), y, np.array(share)[y])
         yield pa.RecordBatch.from_pydict({"used": [used.astype(np.int32).tobytes()], "weight": [w.tobytes()], "base": [b0]})
 
     row = sample.repartition(1).mapInArrow(run, "used binary, weight binary, base double").first()
@@ -174,7 +177,7 @@ def score_documents(docs: DataFrame, model: tuple[bytes, bytes, float], text_col
             cache["tox_key"], cache["tox"] = key, (w, base)
         w, base = cache["tox"]
         rows = []
-        for _, part in slices(texts.cast(pa.binary()).to_pylist()):
+        for _, part in slices(texts):
             feats, sent, doc, lo, hi = sentences(part)
             z = base + np.bincount(sent, weights=w[feats].sum(axis=1, dtype=np.float64), minlength=len(doc))
             total = np.bincount(doc, weights=softplus(z), minlength=len(part))
