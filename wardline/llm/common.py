@@ -42,6 +42,20 @@ def worker_cache() -> dict:
     return sys.modules[name].__dict__
 
 
+#: rows of long texts that go to Python at once
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Lower the session's Arrow batches to ``BATCH_ROWS`` rows (a smaller
+    setting stays): texts are long, and a batch is held by the JVM and by the
+    Python worker of every running task."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def values(column):
     """The Python values of an Arrow array, one at a time."""
     for x in column:

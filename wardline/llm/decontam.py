@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import fresh, sha, text_or_empty, values
+from wardline.llm.common import fresh, sha, small_batches, text_or_empty, values
 from wardline.llm.textops import FOLD_TABLE
 from wardline.session import cut_lineage
 
@@ -219,7 +219,7 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, text
                              "items": sorted(x for x in items if x is not None)})
             return pa.array(rows, _SCAN)
 
-        return df.withColumn(out, scan(text_or_empty(text_col), F.col(out)))
+        return small_batches(df).withColumn(out, scan(text_or_empty(text_col), F.col(out)))
 
     df = docs.withColumn(out, F.lit(None).cast(SCAN))
     k = -1
@@ -262,7 +262,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_c
                             pa.struct([("text", pa.string()), ("keep", pa.bool_())]))
 
         done = fresh(df, "_cut")
-        return (df.withColumn(done, clean(F.col(text_col).cast("string"))).where(F.col(done)["keep"])
+        return (small_batches(df).withColumn(done, clean(F.col(text_col).cast("string"))).where(F.col(done)["keep"])
                 .withColumn(text_col, F.col(done)["text"]).select(*columns))
 
     autos: list[SuffixAutomaton] = []

@@ -24,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import stored, text_or_empty
+from wardline.llm.common import small_batches, stored, text_or_empty
 from wardline.llm.textops import FOLD, FOLDED_WORDS, find_words, hash_words, join_texts, mix, slices, windows
 
 #: texts in a block, and n-grams in a block, about
-BLOCK_TEXTS, BLOCK_GRAMS = 2048, 2 << 20
+BLOCK_TEXTS, BLOCK_GRAMS = 1024, 1 << 20
 NULL_ID = -(2**63)
 
 
@@ -98,7 +98,7 @@ def describe(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
         return pa.StructArray.from_arrays([pa.array(digest, pa.binary()), pa.array(size, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
                                           ["_digest", "_grams", "_keys"])
 
-    return docs.select("_id", sign("_text").alias("_s")).select("_id", "_s.*")
+    return small_batches(docs).select("_id", sign("_text").alias("_s")).select("_id", "_s.*")
 
 
 def smallest_reachable(edges: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import sha, text_or_empty, values, worker_cache
+from wardline.llm.common import sha, small_batches, text_or_empty, values, worker_cache
 
 #: the base kinds in their order, then the kinds that the method adds
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -138,7 +138,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", spans_col: str = "spans")
             rows.append([{"kind": k, "start": a, "end": b, "base": k in BASE_KINDS} for k, a, b in found])
         return pa.array(rows, _SPAN)
 
-    return docs.withColumn(spans_col, spans(text_or_empty(text_col)))
+    return small_batches(docs).withColumn(spans_col, spans(text_or_empty(text_col)))
 
 
 def of_kind(kind: str):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import text_or_empty, values, worker_cache
+from wardline.llm.common import small_batches, text_or_empty, values, worker_cache
 
 MARK = "▁"  # stands for a blank
 CHUNK = 1 << 16
@@ -275,6 +275,6 @@ def count_tokens(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col
             cache["bpe_key"], cache["bpe"] = key, Transducer(sent.value)
         return pa.array(map(cache["bpe"].count, values(texts)), pa.int64())
 
-    return (docs.select(F.col(id_col), text_or_empty(text_col).alias("_text"))
+    return (small_batches(docs).select(F.col(id_col), text_or_empty(text_col).alias("_text"))
             .select(id_col, F.octet_length("_text").cast("long").alias("n_bytes"), tokens("_text").alias("n_tokens"))
             .withColumn("over_limit", F.col("n_tokens") > limit))

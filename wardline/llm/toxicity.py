@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import fresh, text_or_empty, worker_cache
+from wardline.llm.common import fresh, small_batches, text_or_empty, worker_cache
 from wardline.llm.textops import FOLD, FOLDED_WORDS, find_words, hash_words, join_texts, slices
 
 #: weights by hashed feature: a table of fixed size, 16 MB
@@ -191,7 +191,7 @@ def score_documents(docs: DataFrame, model: tuple[bytes, bytes, float], text_col
             rows += [{"score": float(s), "sentences": f} for s, f in zip(scores, found, strict=True)]
         return pa.array(rows, kind)
 
-    return docs.withColumn(out, score(text_or_empty(text_col)))
+    return small_batches(docs).withColumn(out, score(text_or_empty(text_col)))
 
 
 def held_out(id_col: str = "doc_id"):
