@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from conftest import long_df
 from wardline.operators.scale import apply_minmax, apply_standard, fit_minmax, fit_standard
-from wardline.operators.text import feature_to_text, rating_to_class, rating_to_probability, summaries
+from wardline.operators.text import feature_phrase, rating_to_class, rating_to_probability, summaries
 from wardline.operators.tuples import (
     apply_modality_map, fit_modality_map, pack_triplets, pad_sequences, split_triplets,
 )
@@ -37,8 +37,8 @@ def test_modality_map_and_packing(spark):
 
 def test_feature_text_and_summary(spark):
     desc = {"GCS": "[Glasgow Coma Score (3-15)]"}
-    assert feature_to_text("GCS_mean", desc) == "mean GCS [Glasgow Coma Score (3-15)]"
-    assert feature_to_text("Weight_VAR_mean", desc) == "Weight_VAR_mean"
+    assert feature_phrase("GCS_mean", desc) == "mean GCS [Glasgow Coma Score (3-15)]"
+    assert feature_phrase("Weight_VAR_mean", desc) == "Weight_VAR_mean"
     df = spark.createDataFrame([(1, 14.923, None, 80.0), (2, None, None, None)],
                                "RecordID long, GCS_mean double, BUN_min double, Weight_VAR_mean double")
     got = {r.RecordID: r.summary for r in summaries(df, ["GCS_mean", "BUN_min", "Weight_VAR_mean"], desc).collect()}

@@ -162,7 +162,7 @@ def _info_nce_batch(temperature: float):
 
 
 def info_nce(views: DataFrame, z_col: str = "z", id_col: str = "RecordID", batch_size: int = 64,
-             temperature: float = 0.1, seed: int = 0) -> DataFrame:
+             temperature: float = 0.2, seed: int = 0) -> DataFrame:
     """Symmetric InfoNCE of two views per entity within batches.
 
     Entities are spread over ``ceil(N / batch_size)`` batches by a hash of

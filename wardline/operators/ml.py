@@ -49,10 +49,13 @@ def balanced(df: DataFrame, label_col: str = "label", weight_col: str = "weight"
 def random_forest(n_trees: int = 100, max_depth: int = 10, min_leaf: int = 1, subsample: float = 1.0,
                   weight_col: str | None = None, seed: int = 0, features_col: str = "features",
                   label_col: str = "label") -> RandomForestClassifier:
-    """M4: forest with the reference's knobs (depth capped at Spark's 30;
-    ``min_samples_split`` has no Spark equivalent and is not used)."""
+    """M4: forest with the reference's knobs (``min_samples_split`` has no
+    Spark equivalent and is not used).  Spark grows at most 30 levels; a deeper
+    setting is refused."""
+    if max_depth > 30:
+        raise ValueError("Spark's forests have at most 30 levels")
     rf = RandomForestClassifier(featuresCol=features_col, labelCol=label_col, numTrees=n_trees,
-                                maxDepth=min(max_depth, 30), minInstancesPerNode=min_leaf,
+                                maxDepth=max_depth, minInstancesPerNode=min_leaf,
                                 subsamplingRate=subsample, featureSubsetStrategy="sqrt", seed=seed)
     if weight_col:
         rf.setWeightCol(weight_col)
@@ -79,18 +82,20 @@ def grid_search_lr(train: DataFrame, Cs, k: int = 5, weight_col: str | None = No
                    id_col: str = "RecordID", parallelism: int = 4):
     """M7 + O5: k-fold CV over ``C`` scored by ROC-AUC, refit on all rows with
     the best ``C``.  Returns ``(model, [(C, mean auc)])``."""
-    total = (train.agg(F.sum(weight_col)).first()[0] if weight_col else train.count()) * (k - 1) / k
+    total = (train.agg(F.sum(weight_col)).first()[0] if weight_col else train.count())
     lr = LogisticRegression(elasticNetParam=0.0, standardization=False, maxIter=1000, family="binomial")
     if weight_col:
         lr.setWeightCol(weight_col)
-    grid = ParamGridBuilder().addGrid(lr.regParam, [1.0 / (c * total) for c in Cs]).build()
+    grid = ParamGridBuilder().addGrid(lr.regParam, [1.0 / (c * total * (k - 1) / k) for c in Cs]).build()
     ev = BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0)
     if weight_col:
         ev.setWeightCol(weight_col)
     cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=ev, foldCol="fold", numFolds=k,
                         parallelism=parallelism, seed=seed)
-    model = cv.fit(add_folds(train, k, id_col, seed))
-    return model, list(zip(Cs, model.avgMetrics))
+    scores = list(zip(Cs, cv.fit(add_folds(train, k, id_col, seed)).avgMetrics))
+    best = max(scores, key=lambda x: x[1])[0]
+    # the penalty is per unit of weight: the refit sees all rows, not a fold's share
+    return logistic_regression(best, total, weight_col=weight_col).fit(train), scores
 
 
 def random_search_rf(train: DataFrame, n_iter: int = 30, k: int = 3, seed: int = 0, id_col: str = "RecordID",

@@ -60,7 +60,7 @@ def _bucket_expr(bounds_by_bracket: dict, b, v):
 
 
 def select_ranks(values: DataFrame, group_col: str, value_col: str, wanted: dict,
-                 max_exact: int = 50_000, n_buckets: int = 64, max_rounds: int = 16,
+                 max_exact: int = 50_000, n_buckets: int = 64,
                  group_counts: dict | None = None, initial_bounds: dict | None = None) -> dict:
     """Exact value at 0-based rank ``r`` of each group, for ``wanted = {group: [r, ...]}``.
 
@@ -71,7 +71,7 @@ def select_ranks(values: DataFrame, group_col: str, value_col: str, wanted: dict
     """
     spark = values.sparkSession
     v = values.select(F.col(group_col).cast("string").alias("_g"), F.col(value_col).cast("double").alias("_v"))
-    # bracket id -> (group, lo, hi, count, [(target key, rank inside bracket)])
+    # bracket id -> (group, lo, hi, count, [(target key, rank inside bracket)], heavy value or False)
     brackets = {}
     bid = 0
     for g, ranks in wanted.items():
@@ -79,50 +79,54 @@ def select_ranks(values: DataFrame, group_col: str, value_col: str, wanted: dict
         brackets[bid] = (str(g), None, None, cnt, [((g, r), int(r)) for r in sorted(set(ranks))], False)
         bid += 1
     result: dict = {}
-    for _ in range(max_rounds):
-        if not brackets:
-            break
-        # bracket membership as one compiled CASE (brackets are few and disjoint per group)
+
+    def members(of: dict) -> DataFrame:
+        """Values with their bracket, as one compiled CASE (brackets are few and disjoint per group)."""
         member = None
-        for b, x in brackets.items():
+        for b, x in of.items():
             cond = F.col("_g") == F.lit(x[0])
             if x[1] is not None:
                 cond = cond & (F.col("_v") > F.lit(float(x[1])))
             if x[2] is not None:
                 cond = cond & (F.col("_v") <= F.lit(float(x[2])))
             member = F.when(cond, F.lit(b)) if member is None else member.when(cond, F.lit(b))
-        inb = v.select(member.alias("_b"), "_v").where(F.col("_b").isNotNull())
+        return v.select(member.alias("_b"), "_v").where(F.col("_b").isNotNull())
+
+    # every round finishes a bracket or makes it smaller: a bracket that its
+    # buckets cannot split holds a heavy value, and the split around that
+    # value takes at least its copies away
+    while brackets:
+        inb = members(brackets)
         if any(x[3] is None for x in brackets.values()):
             got = {r["_b"]: r["n"] for r in inb.groupBy("_b").agg(F.count("*").alias("n")).collect()}
             brackets = {b: (x[0], x[1], x[2], got.get(b, 0), x[4], x[5]) for b, x in brackets.items()}
         stuck = {b: x for b, x in brackets.items() if x[5] is not False and x[3] > max_exact}
         if stuck:
-            # heavy ties: the approximate bounds cannot split the bracket, so
-            # split it three ways around its heavy value v (recorded with the
-            # bracket): below v, equal to v, above v -- one aggregate, three
-            # numbers per bracket.
-            heavy = {b: x[5] for b, x in stuck.items()}
+            # split three ways around the heavy value: below, equal, above --
+            # one aggregate, two numbers per bracket
             hv = None
-            for b, v_star in heavy.items():
-                hv = (F.when(F.col("_b") == F.lit(b), F.lit(float(v_star))) if hv is None
-                      else hv.when(F.col("_b") == F.lit(b), F.lit(float(v_star))))
+            for b, x in stuck.items():
+                at = F.lit(float(x[5]))
+                hv = F.when(F.col("_b") == F.lit(b), at) if hv is None else hv.when(F.col("_b") == F.lit(b), at)
             split = {r["_b"]: (r["lt"], r["eq"]) for r in
                      inb.where(F.col("_b").isin(list(stuck))).withColumn("_h", hv)
                      .groupBy("_b").agg(F.count_if(F.col("_v") < F.col("_h")).alias("lt"),
                                         F.count_if(F.col("_v") == F.col("_h")).alias("eq")).collect()}
-            for b, (g, lo, hi, cnt, targets, v_star) in stuck.items():
-                lt, eq = split.get(b, (0, 0))
-                for key, r in targets:
-                    if lt <= r < lt + eq:
-                        result[key] = float(v_star)
-                        continue
-                    if r < lt:
-                        nb = (g, lo, math.nextafter(float(v_star), -math.inf), lt, [(key, r)], False)
-                    else:
-                        nb = (g, float(v_star), hi, cnt - lt - eq, [(key, r - lt - eq)], False)
-                    brackets[bid] = nb
-                    bid += 1
             brackets = {b: x for b, x in brackets.items() if b not in stuck}
+            for b, (g, lo, hi, cnt, targets, v_star) in stuck.items():
+                lt, eq = split[b]
+                below = [(key, r) for key, r in targets if r < lt]
+                above = [(key, r - lt - eq) for key, r in targets if r >= lt + eq]
+                result.update({key: float(v_star) for key, r in targets if lt <= r < lt + eq})
+                # all targets on one side share one bracket
+                if below:
+                    brackets[bid] = (g, lo, math.nextafter(float(v_star), -math.inf), lt, below, False)
+                if above:
+                    brackets[bid + 1] = (g, float(v_star), hi, cnt - lt - eq, above, False)
+                bid += 2
+            if not brackets:
+                break
+            inb = members(brackets)
         small = {b: x for b, x in brackets.items() if x[3] <= max_exact}
         big = {b: x for b, x in brackets.items() if x[3] > max_exact}
         if small:
@@ -181,8 +185,6 @@ def select_ranks(values: DataFrame, group_col: str, value_col: str, wanted: dict
                         break
                     below += n
         brackets = new_brackets
-    if brackets:
-        raise RuntimeError("quantile refinement did not converge")
     return result
 
 

@@ -6,6 +6,7 @@ null is a null argument), so the whole text step stays in the JVM.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -33,18 +34,18 @@ FEWSHOT_FIRST = 5
 FEWSHOT_WINDOW = 32
 
 
-def feature_to_text(feature: str, descriptions: dict) -> str:
-    """F8: ``var_stat`` -> ``"stat var description"``; ``VAR`` reads
-    ``variance``; names that do not split into exactly two parts on ``_``
-    are kept as they are.  (Names are schema, so this runs on the driver.)"""
-    parts = feature.split("_")
-    if len(parts) != 2:
-        return feature
-    var, stat = parts
-    shown = var.replace("VAR", "variance")
-    if var in descriptions:
-        return f"{stat} {shown} {descriptions[var]}"
-    return f"{stat} {shown}"
+def feature_phrase(name: str, descriptions: dict) -> str:
+    """F8: the words for a feature column.
+
+    A name of exactly two words joined by one underscore is a variable and a
+    statistic; it reads as statistic, variable and the variable's description,
+    if there is one, with VAR written out.  Any other name stands for itself.
+    """
+    named = re.fullmatch(r"(?P<variable>[^_]*)_(?P<statistic>[^_]*)", name)
+    if named is None:
+        return name
+    words = [named["statistic"], named["variable"].replace("VAR", "variance"), descriptions.get(named["variable"])]
+    return " ".join(w for w in words if w is not None)
 
 
 def round_half_even(c, digits: int = 2, guard_digits: int = 9):
@@ -61,7 +62,7 @@ def summary_column(features, descriptions: dict, digits: int = 2):
     """``"phrase value. phrase value."``, nulls skipped, values rounded
     half-even to ``digits``; no value at all gives ``"."``."""
     parts = [F.when(F.col(f"`{f}`").isNotNull(),
-                    F.concat(F.lit(feature_to_text(f, descriptions) + " "),
+                    F.concat(F.lit(feature_phrase(f, descriptions) + " "),
                              round_half_even(F.col(f"`{f}`"), digits).cast("string")))
              for f in features]
     return F.concat(F.concat_ws(". ", *parts), F.lit("."))

@@ -8,6 +8,7 @@ from wardline.operators.explore import (
     box_summary, correlation_matrix, histogram, null_and_distinct_counts,
 )
 from wardline.operators.features import grouped_mean, grouped_variance, mean_features
+from wardline.operators.quantiles import exact_quantiles
 from wardline.plans.grid_queries import SQL_GRID_CTE, V, events_grid_df
 from wardline.plans.registry import r, register, rounded
 from wardline.sources.tables import events_outcomes, labels_as_outcomes, read_table
@@ -94,6 +95,22 @@ def q_lineitem_box_summary(spark, sf_dir):
     return rounded(box_summary(li, LINE_COLS))
 
 
+_REFINED_P = [0.005, 0.25, 0.5, 0.9, 0.995]
+_CAPPED = {"l_quantity": 30.0, "l_discount": 0.05}
+
+
+@register("capped_column_quantiles", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", " + ", ".join(r(f"quantile_cont(least({c}, {cap}), {p})") + f" AS q{i}" for i, p in enumerate(_REFINED_P))
+    + " FROM lineitem" for c, cap in _CAPPED.items()))
+def q_capped_column_quantiles(spark, sf_dir):
+    """Quantiles of columns with a heavy maximum, refined from brackets of at most 200 values."""
+    li = read_table(spark, sf_dir, "lineitem", columns=list(_CAPPED))
+    capped = li.select(*[F.least(F.col(c).cast("double"), F.lit(cap)).alias(c) for c, cap in _CAPPED.items()])
+    got = exact_quantiles(capped, list(_CAPPED), _REFINED_P, max_exact=200, n_buckets=8)
+    return rounded(spark.createDataFrame([(c, *map(float, q)) for c, q in got.items()],
+                                         "column string, " + ", ".join(f"q{i} double" for i in range(len(_REFINED_P)))))
+
+
 _MEAN_COLS = list(V.series_vars) + list(V.model_static_vars)
 _ENTITY_MEANS_SQL = ("ent AS (SELECT RecordID, " + ", ".join(
     [f'avg("{v}") AS "{v}"' for v in V.series_vars] + [f'max("{s}") AS "{s}"' for s in V.model_static_vars])

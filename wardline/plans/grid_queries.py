@@ -173,13 +173,13 @@ SQL_PIVOT = (f"WITH {SQL_RECORDS}\nSELECT RecordID, {_HHMM} AS Time, " + ", ".jo
 @register("records_dedup", SQL_DEDUP)
 def q_records_dedup(spark, sf_dir):
     """A1 on the events table read as minute-resolution records."""
-    return rounded(aggregate_duplicates(events_records(spark, sf_dir), V))
+    return rounded(aggregate_duplicates(events_records(spark, sf_dir), V, strict=False))
 
 
 @register("records_pivot", SQL_PIVOT)
 def q_records_pivot(spark, sf_dir):
     """A1 + A2 + P4: one wide row per (entity, minute)."""
-    return rounded(pivot_records(aggregate_duplicates(events_records(spark, sf_dir), V), V))
+    return rounded(pivot_records(aggregate_duplicates(events_records(spark, sf_dir), V, strict=False), V))
 
 
 @register("events_grid", SQL_EVENTS_GRID)

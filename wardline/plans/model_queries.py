@@ -1,7 +1,6 @@
 """Sampling, augmentation and model reports.
 
-Random and fitted outputs have no SQL twin: the driver checks their row
-counts, and ``tests/`` checks their properties by brute force.
+Random and fitted outputs have no SQL twin: the driver checks their row counts.
 """
 
 from __future__ import annotations
@@ -28,7 +27,7 @@ from wardline.operators.tuples import pack_grid
 from wardline.plans.grid_queries import SQL_GRID_CTE, V, events_grid_df, events_grid_table
 from wardline.session import cut_lineage
 from wardline.plans.registry import register, rounded
-from wardline.plans.tuple_queries import SQL_TUPLES_CTE, TIME_RANGE, events_tuples_df
+from wardline.plans.tuple_queries import SQL_TUPLES_CTE, TIME_RANGE, events_tuples_df, packed_triplets
 from wardline.sources.tables import embeddings_as_vectors, events_outcomes, labels_as_outcomes, read_table
 
 SEED = 7
@@ -82,16 +81,8 @@ def q_grid_masks(spark, sf_dir):
 
 @register("triplet_views")
 def q_triplet_views(spark, sf_dir):
-    """Two jittered views of each entity's (t, z, v) sequence (t scaled by the fixed range)."""
-    tup = events_tuples_df(spark, sf_dir)
-    packed = (tup.groupBy("RecordID")
-              .agg(F.array_sort(F.collect_list(F.struct(
-                  F.col("Time"), F.col("Parameter"),
-                  (F.col("Time") / F.lit(TIME_RANGE)).alias("t"), F.lit(0).alias("z"),
-                  F.col("Value").alias("v")))).alias("_s"))
-              .select("RecordID", F.transform("_s", lambda s: F.struct(s["t"].alias("t"), s["z"].alias("z"),
-                                                                       s["v"].alias("v"))).alias("triplets")))
-    return rounded(triplet_views(packed, seed=SEED))
+    """Two jittered views of each entity's scaled and indexed (t, z, v) sequence."""
+    return rounded(triplet_views(packed_triplets(spark, sf_dir), seed=SEED))
 
 
 _D_ENC = 16
@@ -144,7 +135,7 @@ def q_contrastive_loss(spark, sf_dir):
     """Symmetric InfoNCE between the two grid views of each entity (mean pooled), per batch."""
     views = grid_views(_grid_tensor(spark, sf_dir), seed=SEED)
     z = views.select("RecordID", "view", mean_over_time("x").alias("z"))
-    return rounded(info_nce(z, batch_size=32, temperature=0.1, seed=SEED))
+    return rounded(info_nce(z, batch_size=32, seed=SEED))
 
 
 @register("rf_importances")
@@ -157,10 +148,9 @@ def q_rf_importances(spark, sf_dir):
 
 
 def rf_random_search_report(spark, sf_dir, n_iter: int = 30, k: int = 3):
-    """M5: 30 random forest settings from the reference's search space, 3
-    folds, accuracy; one row per setting.  Not registered as a driver query:
-    90 forest fits of up to 999 trees take about 12 minutes on local[8]
-    (see README); ``tests/`` runs it with a small ``n_iter``."""
+    """M5: 30 random forest settings, 3 folds, accuracy; one row per setting.
+    Not registered as a driver query: 90 forest fits of up to 999 trees take
+    about 12 minutes on local[8] (see README)."""
     d = _entity_features(spark, sf_dir)
     cols = [c for c in d.columns if c not in ("RecordID", "label")]
     _, scores = random_search_rf(assemble(d, cols).select("RecordID", "label", "features"),

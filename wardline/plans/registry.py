@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
@@ -29,18 +30,23 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def rounded_value(c, kind, digits: int):
+    """``c`` of type ``kind`` with every double or float inside it rounded."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.round(c.cast("double"), digits)
+    if "double" not in kind.simpleString() and "float" not in kind.simpleString():
+        return c
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: rounded_value(x, kind.elementType, digits))
+    if isinstance(kind, T.StructType):
+        inner = F.struct(*[rounded_value(c[f.name], f.dataType, digits).alias(f.name) for f in kind.fields])
+        return F.when(c.isNotNull(), inner)
+    return c
+
+
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round every double/float column (presentation step of a report)."""
-    cols = []
-    for f in df.schema.fields:
-        t = f.dataType.simpleString()
-        c = F.col(f"`{f.name}`")
-        if t in ("double", "float"):
-            c = F.round(c.cast("double"), digits)
-        elif t in ("array<double>", "array<float>"):
-            c = F.transform(c, lambda x: F.round(x.cast("double"), digits))
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+    """Round every double/float, nested ones too (presentation step of a report)."""
+    return df.select(*[rounded_value(F.col(f"`{f.name}`"), f.dataType, digits).alias(f.name) for f in df.schema.fields])
 
 
 def r(expr: str, digits: int = DIGITS) -> str:

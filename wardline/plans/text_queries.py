@@ -5,7 +5,7 @@ from __future__ import annotations
 from wardline.operators.features import stat_features
 from wardline.operators.text import (
     OUTCOME_SEP, PROMPT_HEAD, PROMPT_MIDDLE, PROMPT_TAIL, RATING_DIED, RATING_SURVIVED,
-    FEWSHOT_FIRST, FEWSHOT_WINDOW, feature_to_text, fewshot_examples, prompts, summaries,
+    FEWSHOT_FIRST, FEWSHOT_WINDOW, feature_phrase, fewshot_examples, prompts, summaries,
 )
 from wardline.plans.grid_queries import SQL_GRID_CTE, V, _STAT_NAMES, _stat_sql, events_grid_df
 from wardline.plans.explore_queries import _OUTCOME_SQL
@@ -25,7 +25,7 @@ _FEATS_SQL = ("feats AS (SELECT RecordID, " + ", ".join(
     + [f'max("{s}") AS "{s}_first"' for s in V.static_vars]) + " FROM grid GROUP BY RecordID)")
 
 _SUMMARY_SQL = "concat_ws('. ', " + ", ".join(
-    f"CASE WHEN \"{f}\" IS NOT NULL THEN {_sql_str(feature_to_text(f, V.descriptions) + ' ')} || "
+    f"CASE WHEN \"{f}\" IS NOT NULL THEN {_sql_str(feature_phrase(f, V.descriptions) + ' ')} || "
     f"CAST(round_even(round(CAST(\"{f}\" AS DOUBLE), 9), 2) AS VARCHAR) END" for f in FEATURES) + ") || '.'"
 
 SQL_SUMMARIES_CTE = f"{SQL_GRID_CTE}, {_FEATS_SQL},\n  summ AS (SELECT RecordID, {_SUMMARY_SQL} AS summary FROM feats)"

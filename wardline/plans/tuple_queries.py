@@ -28,7 +28,7 @@ TIME_RANGE = float(EVENTS_N_BINS * EVENTS_BIN_MINUTES)
 
 
 def events_tuples_df(spark, sf_dir):
-    return event_tuples(aggregate_duplicates(events_records(spark, sf_dir), V), V)
+    return event_tuples(aggregate_duplicates(events_records(spark, sf_dir), V, strict=False), V)
 
 
 def _tuple_rule_sql() -> str:
@@ -100,15 +100,17 @@ FROM packed CROSS JOIN mx""")
 def q_padded_triplets(spark, sf_dir):
     """E2 second half: scale (A22, F4) -> index (A24, J7) -> pack (A6) -> truncate
     (Y1) -> split (Y2) -> pad and mask (Y3)."""
+    return rounded(pad_sequences(split_triplets(packed_triplets(spark, sf_dir))))
+
+
+def packed_triplets(spark, sf_dir):
+    """Scaled and indexed triplets of each entity, at most ``ICU_MAX_SEQ_LEN``."""
     # fit (scaler, index, pad length) and apply all read the tuples: store them once
     tup = cut_lineage(events_tuples_df(spark, sf_dir))
     scaled = apply_param_minmax(tup.withColumn("tm", F.col("Time")), fit_param_minmax(tup),
                                 time_range=TIME_RANGE)
     indexed = apply_modality_map(scaled, fit_modality_map(tup))
-    packed = pack_triplets(indexed, order_time_col="tm", max_len=ICU_MAX_SEQ_LEN)
-    return rounded(pad_sequences(split_triplets(packed.select(
-        "RecordID", F.transform("triplets", lambda x: F.struct(x["t"].alias("t"), x["z"].alias("z"),
-                                                               x["v"].alias("v"))).alias("triplets")))))
+    return pack_triplets(indexed, order_time_col="tm", max_len=ICU_MAX_SEQ_LEN)
 
 
 _P = [50, 75, 90, 95, 98, 99, 99.5, 99.9]
