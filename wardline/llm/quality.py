@@ -26,7 +26,7 @@ LEAST_ROWS = 50
 #: and never below its floor
 UPPER, SPREAD = 0.9, 3.0
 #: measure -> floor of its threshold
-RULES = {"symbol_ratio": 0.1, "dup_line_ratio": 0.3, "repeat_ratio": 0.2, "word_length": 12.0}
+RULES = {"symbol_ratio": 0.1, "dup_line_ratio": 0.5, "repeat_ratio": 0.2, "word_length": 12.0}
 
 
 def let(value: Column, body) -> Column:
