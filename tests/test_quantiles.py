@@ -26,6 +26,6 @@ def test_targets_on_both_sides_of_a_heavy_value(spark):
                         "high": np.concatenate([np.full(6000, base.max() + 1), base]),
                         "two": np.concatenate([np.full(3000, -0.5), np.full(3000, 0.5), base])})
     ps = [0.0, 0.002, 0.005, 0.1, 0.16, 0.3, 0.5, 0.7, 0.84, 0.9, 0.995, 1.0]
-    got = exact_quantiles(spark.createDataFrame(pdf), list(pdf), ps, max_exact=40, n_buckets=4)
+    got = exact_quantiles(spark.createDataFrame(pdf), list(pdf), ps, max_exact=400, n_buckets=16)
     for c in pdf:
         assert np.allclose(got[c], [np.quantile(pdf[c], p) for p in ps], rtol=0, atol=1e-12), c
