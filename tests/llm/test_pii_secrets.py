@@ -42,14 +42,15 @@ def digest(spans):
     return hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
 
 
+ANCHORS = pii.anchors()
 PII_ALPHABET = st.text(alphabet="0123456789.+-() @ab:/é", max_size=80)
 
 
-@settings(max_examples=600, deadline=None)
+@settings(max_examples=400, deadline=None)
 @given(PII_ALPHABET)
 def test_anchor_expansion_equals_the_patterns(text):
     order = {k: i for i, k in enumerate(pii.KINDS)}
-    got = sorted((s for s in pii.find_spans(text, pii.anchors()) if s[0] in pii.BASE_KINDS), key=lambda s: (order[s[0]], s[1]))
+    got = sorted((s for s in pii.find_spans(text, ANCHORS) if s[0] in pii.BASE_KINDS), key=lambda s: (order[s[0]], s[1]))
     assert got == base_pii(text)
 
 
@@ -66,7 +67,7 @@ def test_added_kinds():
     a = pii.anchors()
     assert ("iban", 5, 27) in pii.find_spans("IBAN DE89370400440532013000.", a)
     assert not [s for s in pii.find_spans("IBAN DE88370400440532013000.", a) if s[0] == "iban"]
-    assert ("url", 4, 23) in pii.find_spans("see https://a.bc/d?e=f.", a)[:1] or ("url", 4, 23) in [(k, s, e) for k, s, e in pii.find_spans("see https://a.bc/d?e=f.", a)] or pii.find_spans("see https://a.bc/d?e=f.", a)[0][:2] == ("url", 4)
+    assert pii.find_spans("see https://a.bc/d?e=f x", a) == [("url", 4, 22)]
     assert ("account", 9, 17) in pii.find_spans("account: 12345678 ok", a)
 
 
