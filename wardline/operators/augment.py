@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.randomness import hash_normal, hash_uniform
+from wardline.operators.sample import dense_index_by_class
 
 # Augmentation strengths used by the reference.
 GRID_NOISE_STD = 0.02
@@ -35,22 +36,37 @@ def _randint(u: Column, lo, hi) -> Column:
     return (F.floor(u * (hi - lo + 1)) + lo).cast("int")
 
 
+def view_key(id_col: str, view_col: str = "view") -> Column:
+    """The random key of one view of one entity."""
+    return F.concat_ws(":", F.col(id_col).cast("string"), F.col(view_col).cast("string"))
+
+
 def gaussian_noise(x, key: Column, std: float = 0.05, seed: int = 0) -> Column:
     """Add N(0, std) to every cell of a time x feature array."""
     return F.transform(_col(x), lambda row, t: F.transform(
         row, lambda v, j: v + F.lit(std) * hash_normal(seed, key, t, j)))
 
 
-def time_masking(x, key: Column, max_ratio: float = 0.2, seed: int = 0, mask_value: float = 0.0) -> Column:
-    """One contiguous block of time steps set to ``mask_value``; block
-    length uniform in 1..floor(L * ratio), start uniform in 0..L-length."""
-    x = _col(x)
-    n = F.size(x)
+def mask_block(n: Column, key: Column, max_ratio: float, seed: int) -> Column:
+    """A block of time steps as ``(start, length)``; length uniform in
+    1..floor(n * ratio), start uniform in 0..n-length."""
     hi = F.greatest(F.floor(n * F.lit(max_ratio)).cast("int"), F.lit(1))
     length = _randint(hash_uniform(seed, key, F.lit(11)), F.lit(1), hi)
-    start = _randint(hash_uniform(seed, key, F.lit(12)), F.lit(0), n - length)
-    return F.transform(x, lambda row, t: F.when((t >= start) & (t < start + length),
-                                                F.transform(row, lambda v: F.lit(mask_value))).otherwise(row))
+    return F.struct(_randint(hash_uniform(seed, key, F.lit(12)), F.lit(0), n - length).alias("start"),
+                    length.alias("length"))
+
+
+def masked(x: Column, block: Column, mask_value: float = 0.0) -> Column:
+    """``x`` with the time steps of ``block`` set to ``mask_value``."""
+    return F.transform(x, lambda row, t: F.when(
+        (t >= block["start"]) & (t < block["start"] + block["length"]),
+        F.transform(row, lambda v: F.lit(mask_value))).otherwise(row))
+
+
+def time_masking(x, key: Column, max_ratio: float = 0.2, seed: int = 0, mask_value: float = 0.0) -> Column:
+    """One contiguous block of time steps set to ``mask_value``."""
+    x = _col(x)
+    return masked(x, mask_block(F.size(x), key, max_ratio, seed), mask_value)
 
 
 def feature_masking(x, key: Column, max_ratio: float = 0.2, seed: int = 0, mask_value: float = 0.0) -> Column:
@@ -86,9 +102,11 @@ def grid_views(df: DataFrame, x_col: str = "x", id_col: str = "RecordID", seed:
                noise_std: float = GRID_NOISE_STD, mask_ratio: float = GRID_TIME_MASK_RATIO) -> DataFrame:
     """Two independent views per entity: noise then time masking."""
     v = df.select(F.col(id_col), F.col(x_col), F.explode(F.array(F.lit(1), F.lit(2))).alias("view"))
-    key = F.xxhash64(F.col(id_col), F.col("view"))
-    noisy = gaussian_noise(x_col, key, noise_std, seed)
-    return v.select(id_col, "view", time_masking(noisy, key, mask_ratio, seed).alias(x_col))
+    key = view_key(id_col)
+    # the block is a column of its own, so that it is drawn once a view, not once a time step
+    v = v.withColumn("_block", mask_block(F.size(x_col), key, mask_ratio, seed))
+    v = v.withColumn("_noisy", gaussian_noise(x_col, key, noise_std, seed))
+    return v.select(id_col, "view", masked(F.col("_noisy"), F.col("_block")).alias(x_col))
 
 
 def augment_triplets(triplets, key: Column, seed: int = 0, time_shift: float = TRIPLET_TIME_SHIFT,
@@ -105,7 +123,7 @@ def augment_triplets(triplets, key: Column, seed: int = 0, time_shift: float = T
 def triplet_views(df: DataFrame, col: str = "triplets", id_col: str = "RecordID", seed: int = 0) -> DataFrame:
     """Y9 in the contrastive layout: two augmented views per entity."""
     v = df.select(F.col(id_col), F.col(col), F.explode(F.array(F.lit(1), F.lit(2))).alias("view"))
-    key = F.xxhash64(F.col(id_col), F.col("view"))
+    key = view_key(id_col)
     return v.select(id_col, "view", augment_triplets(col, key, seed).alias(col))
 
 
@@ -165,15 +183,13 @@ def info_nce(views: DataFrame, z_col: str = "z", id_col: str = "RecordID", batch
              temperature: float = 0.2, seed: int = 0) -> DataFrame:
     """Symmetric InfoNCE of two views per entity within batches.
 
-    Entities are spread over ``ceil(N / batch_size)`` batches by a hash of
-    the id (batches hold about ``batch_size`` entities); each batch's
-    similarity matrix is computed in one grouped pandas function, so work
-    per group is bounded by the batch, never by the table.  Returns
-    ``(batch, n, loss)``.
+    Entities get a dense index in hash order; every ``batch_size`` of them
+    form a batch (only the last may hold fewer), so work per group is bounded
+    by the batch, never by the table.  Returns ``(batch, n, loss)``.
     """
-    n = views.select(id_col).distinct().count()
-    n_batches = max(1, math.ceil(n / batch_size))
-    b = views.select(F.col(id_col).alias("RecordID"), "view",
-                     F.col(z_col).cast("array<double>").alias("z"),
-                     F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(n_batches)).alias("batch"))
+    ids = views.select(F.col(id_col).alias("RecordID"), F.lit(0).alias("_all")).distinct()
+    batch = dense_index_by_class(ids, "_all", "RecordID", seed).select(
+        "RecordID", F.floor((F.col("_idx") - 1) / F.lit(batch_size)).cast("long").alias("batch"))
+    b = (views.select(F.col(id_col).alias("RecordID"), "view", F.col(z_col).cast("array<double>").alias("z"))
+         .join(batch, "RecordID"))
     return b.groupBy("batch").applyInPandas(_info_nce_batch(temperature), "batch long, n long, loss double")

@@ -8,15 +8,15 @@ numbers are handled explicitly:
   Spark minimises ``sum_i w_i loss_i / sum_i w_i + regParam/2 |w|^2``, so
   ``regParam = 1 / (C * sum_i w_i)`` with ``standardization=False``;
 * ``class_weight='balanced'`` -> a weight column ``N / (k n_c)``;
-* folds: a hash of (seed, id) modulo k (every row in exactly one fold,
-  classes balanced in expectation), passed as ``foldCol``.
+* folds: stratified, the index of a row inside its class (hash order) modulo
+  k, so that a class differs by at most one row between folds; passed as
+  ``foldCol``.
 """
 
 from __future__ import annotations
 
 import random
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -25,7 +25,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.operators.sample import with_sample_weight
+from wardline.operators.sample import dense_index_by_class, with_sample_weight
 
 
 def assemble(df: DataFrame, feature_cols, out_col: str = "features") -> DataFrame:
@@ -37,8 +37,11 @@ def vectors(df: DataFrame, array_col: str, out_col: str = "features") -> DataFra
     return df.withColumn(out_col, array_to_vector(F.col(array_col).cast("array<double>")))
 
 
-def add_folds(df: DataFrame, k: int, id_col: str = "RecordID", seed: int = 0, out_col: str = "fold") -> DataFrame:
-    return df.withColumn(out_col, F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(k)).cast("int"))
+def add_folds(df: DataFrame, k: int, id_col: str = "RecordID", seed: int = 0, out_col: str = "fold",
+              label_col: str = "label") -> DataFrame:
+    """Stratified fold number ``0..k-1`` of every row."""
+    indexed = dense_index_by_class(df, label_col, id_col, seed)
+    return indexed.withColumn(out_col, F.pmod(F.col("_idx"), F.lit(k)).cast("int")).drop("_idx")
 
 
 def balanced(df: DataFrame, label_col: str = "label", weight_col: str = "weight") -> DataFrame:
@@ -111,7 +114,7 @@ def random_search_rf(train: DataFrame, n_iter: int = 30, k: int = 3, seed: int =
     """
     rng = random.Random(seed)
     data = balanced(train, label_col, "w_balanced").withColumn("w_none", F.lit(1.0))
-    data = add_folds(data, k, id_col, seed)
+    data = add_folds(data, k, id_col, seed, label_col=label_col)
     results, best = [], None
     draws = []
     for _ in range(n_iter):
@@ -188,6 +191,6 @@ def project_2d(df: DataFrame, vec_col: str = "embedding", id_col: str = "RecordI
                       F.col("_pc")[0].alias("pc1"), F.col("_pc")[1].alias("pc2"))
 
 
-__all__ = ["Pipeline", "assemble", "vectors", "add_folds", "balanced", "random_forest", "logistic_regression",
+__all__ = ["assemble", "vectors", "add_folds", "balanced", "random_forest", "logistic_regression",
            "logspace", "grid_search_lr", "random_search_rf", "feature_importances", "coefficients", "predict",
            "linear_probe", "project_2d"]

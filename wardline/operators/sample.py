@@ -82,6 +82,12 @@ def stratified_sample(df: DataFrame, n: int, seed: int = 0, label_col: str = "la
             .drop("_rank", "quota"))
 
 
+def n_per_class(df: DataFrame, n: int, seed: int = 0, label_col: str = "label", id_col: str = "RecordID") -> DataFrame:
+    """M3: ``n`` rows of every class in hash order (all rows of a smaller class)."""
+    w = Window.partitionBy(label_col).orderBy(hash_uniform(seed, id_col), id_col)
+    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= F.lit(n)).drop("_rank")
+
+
 def dense_index_by_class(df: DataFrame, label_col: str = "label", id_col: str = "RecordID", seed: int = 0,
                          class_sizes: dict | None = None, rows_per_group: int = 1_000_000) -> DataFrame:
     """Index ``1..n_c`` inside each class in hash order, without holding a

@@ -78,7 +78,7 @@ def q_modality_map(spark, sf_dir):
     return fit_modality_map(events_tuples_df(spark, sf_dir))
 
 
-@register("padded_triplets", f"""WITH {SQL_TUPLES_CTE}, {SQL_MODALITY},
+SQL_PACKED = f"""WITH {SQL_TUPLES_CTE}, {SQL_MODALITY},
   scaled AS (
     SELECT t.RecordID, t.Parameter, t.Time AS tm, m.z, t.Time / {TIME_RANGE} AS t,
            (t.Value - f.mn) / CASE WHEN f.mx > f.mn THEN f.mx - f.mn ELSE 1.0 END AS v
@@ -89,7 +89,10 @@ def q_modality_map(spark, sf_dir):
   ranked AS (SELECT *, row_number() OVER (PARTITION BY RecordID ORDER BY tm, Parameter) AS rn FROM scaled),
   packed AS (
     SELECT RecordID, list(t ORDER BY rn) AS t, list(z ORDER BY rn) AS z, list(v ORDER BY rn) AS v
-    FROM ranked WHERE rn <= {ICU_MAX_SEQ_LEN} GROUP BY RecordID),
+    FROM ranked WHERE rn <= {ICU_MAX_SEQ_LEN} GROUP BY RecordID)"""
+
+
+@register("padded_triplets", SQL_PACKED + """,
   mx AS (SELECT max(len(z)) AS n FROM packed)
 SELECT RecordID,
   list_transform(list_concat(t, list_resize([]::DOUBLE[], n - len(t), -999.0)), lambda x: round(x, 6)) AS t,
