@@ -25,3 +25,8 @@ def minutes_to_hhmm(minutes) -> Column:
     """Inverse of :func:`hhmm_to_minutes`; hours are zero padded, never cut."""
     m = _c(minutes).cast("long")
     return F.format_string("%02d:%02d", F.floor(m / 60).cast("long"), F.pmod(m, F.lit(60)))
+
+
+def run_name(model: str, day) -> str:
+    """F16: ``model_YYYY-MM-DD``, the name of a training run started on ``day``."""
+    return f"{model}_{day:%Y-%m-%d}"

@@ -171,8 +171,9 @@ def predict(model, df: DataFrame, id_col: str = "RecordID", keep=("label",)) ->
 
 
 def linear_probe(df: DataFrame, vec_col: str = "embedding", label_col: str = "label", max_iter: int = 1000):
-    """Unregularised logistic regression on frozen representations,
-    positives weighted by ``n_neg / n_pos`` (the probe's pos_weight)."""
+    """Unregularised logistic regression on frozen representations of the
+    training split, positives weighted by ``n_neg / n_pos`` (the probe's
+    pos_weight).  Returns the model and the weighted training vectors."""
     v = vectors(df, vec_col)
     counts = {r[label_col]: r["n"] for r in v.groupBy(label_col).agg(F.count(F.lit(1)).alias("n")).collect()}
     pw = counts.get(0, 0) / max(counts.get(1, 1), 1)

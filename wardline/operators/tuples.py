@@ -60,9 +60,13 @@ def fit_modality_map(train: DataFrame, param_col: str = "Parameter", id_col: str
     return ranked.unionByName(pad)
 
 
-def vocabulary_size(modality_map: DataFrame) -> int:
-    """Max index + 1 (a single number)."""
-    return modality_map.agg(F.max("z")).first()[0] + 1
+def vocabulary_size(modality_map: DataFrame, configured: int | None = None) -> int:
+    """Max index + 1 (a single number).  A ``configured`` size that does
+    not hold every index raises."""
+    size = modality_map.agg(F.max("z")).first()[0] + 1
+    if configured is not None and size > configured:
+        raise ValueError(f"the map needs {size} indices, {configured} are configured")
+    return size
 
 
 def apply_modality_map(df: DataFrame, modality_map: DataFrame, param_col: str = "Parameter",

@@ -8,3 +8,4 @@ from wardline.plans import metric_queries  # noqa: F401,E402
 from wardline.plans import text_queries  # noqa: F401,E402
 from wardline.plans import series_queries  # noqa: F401,E402
 from wardline.plans import model_queries  # noqa: F401,E402
+from wardline.plans import split_queries  # noqa: F401,E402

@@ -42,14 +42,9 @@ _HHMM = ("(CASE WHEN m // 60 < 10 THEN '0' ELSE '' END) || CAST(m // 60 AS VARCH
 def _sql_dedup_value(param="Parameter", value="Value") -> str:
     s = ", ".join(f"'{p}'" for p in V.sum_params)
     mx = ", ".join(f"'{p}'" for p in V.max_params)
-    many = ", ".join(f"'{p}'" for p in V.mean_many_params)
     two = (f"CASE WHEN {param} IN ({s}) THEN coalesce(sum({value}), 0) "
            f"WHEN {param} IN ({mx}) THEN max({value}) ELSE avg({value}) END")
-    many_rule = (f"CASE WHEN {param} IN ({s}) THEN coalesce(sum({value}), 0) "
-                 f"WHEN {param} IN ({many}) THEN avg({value}) "
-                 f"ELSE CAST(error('More than 2 values for the same key') AS DOUBLE) END")
-    return (f"CASE WHEN count(*) = 1 THEN avg({value}) WHEN count(*) = 2 THEN {two} "
-            f"ELSE {many_rule} END")
+    return f"CASE WHEN count(*) = 1 THEN avg({value}) ELSE {two} END"
 
 
 SQL_RECORDS = f"""

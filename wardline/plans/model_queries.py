@@ -18,6 +18,7 @@ from wardline.operators.augment import (
 from wardline.operators.explore import histogram
 from wardline.operators.features import fill_features, stat_features
 from wardline.operators.impute import ffill_and_fill
+from wardline.operators.joins import TEST, TRAIN, splits_of
 from wardline.operators.metrics import auroc_ap
 from wardline.operators.ml import (
     assemble, balanced, coefficients, feature_importances, grid_search_lr, linear_probe, logspace, predict,
@@ -258,9 +259,11 @@ def q_lr_cv_scores(spark, sf_dir):
 
 @register("probe_metrics")
 def q_probe_metrics(spark, sf_dir):
-    """M16 + M10 + M12/M13: weighted linear probe on embeddings, scored by exact ROC-AUC/AP."""
-    model, v = linear_probe(_emb(spark, sf_dir))
-    pred = predict(model, v)
+    """M16 + M10 + M12/M13: weighted linear probe fitted on the training split of
+    the embeddings, scored by exact ROC-AUC/AP on the test split."""
+    parts = splits_of(_emb(spark, sf_dir))
+    model, _ = linear_probe(parts[TRAIN])
+    pred = predict(model, vectors(parts[TEST], "embedding"))
     return rounded(auroc_ap(pred, "probability", "label"))
 
 

@@ -86,3 +86,8 @@ def read_ranked_features(spark: SparkSession, path: str) -> DataFrame:
             .select("_pos", F.element_at(F.split(F.trim("value"), r"\s+"), -1).alias("feature"))
             .withColumn("rank", F.row_number().over(Window.orderBy("_pos")))
             .select("rank", "feature"))
+
+
+def top_ranked(ranked: DataFrame, k: int) -> DataFrame:
+    """O3: the first ``k`` features of a ranked list."""
+    return ranked.where(F.col("rank") <= F.lit(k))
