@@ -15,7 +15,7 @@ from wardline.operators.sample import n_per_class
 from wardline.operators.scale import apply_param_minmax, fit_param_minmax
 from wardline.operators.text import batch_inference
 from wardline.operators.tuples import apply_modality_map, fit_modality_map, vocabulary_size
-from wardline.sources.records import top_ranked
+from wardline.sources.records import load_record_files, top_ranked
 
 
 def test_every_id_is_in_one_split(spark):
@@ -109,3 +109,11 @@ def test_models(spark):
     assert ranked[0].feature == "f1" and np.isclose(sum(r.importance for r in ranked), 1)
     strong, weak = (np.linalg.norm(logistic_regression(c, 200.0).fit(df).coefficients.toArray()) for c in (0.01, 10.0))
     assert strong < weak
+
+
+def test_record_file_without_an_id_is_named(spark, tmp_path):
+    (tmp_path / "good.txt").write_text("Time,Parameter,Value\n00:00,RecordID,7\n00:05,HR,80\n")
+    assert sorted(r.RecordID for r in load_record_files(spark, str(tmp_path)).collect()) == [7, 7]
+    (tmp_path / "bad.txt").write_text("Time,Parameter,Value\n00:00,Age,54\n")
+    with pytest.raises(Exception, match="bad.txt"):
+        load_record_files(spark, str(tmp_path)).collect()

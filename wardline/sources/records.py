@@ -47,7 +47,8 @@ def attach_record_ids(raw: DataFrame, id_param: str = "RecordID", id_col: str =
 
     ``raw`` holds ``Time, Parameter, Value, _file``.  The per-file table is
     broadcast when the caller knows the file count is small, shuffle-joined
-    otherwise (AQE splits a skewed file)."""
+    otherwise (AQE splits a skewed file).  A file without an id is an error
+    that names the file."""
     raw = (raw.withColumn("_row", F.monotonically_increasing_id())
            .withColumn("Value", nan_to_null("Value")))
     ids = (raw.where(F.col("Parameter") == id_param)
@@ -55,8 +56,9 @@ def attach_record_ids(raw: DataFrame, id_param: str = "RecordID", id_col: str =
            .agg(F.min_by("Value", "_row").alias(id_col)))
     if small:
         ids = F.broadcast(ids)
-    return (raw.join(ids, "_file", "inner")
-            .select(F.col(id_col).cast("long").alias(id_col), "Parameter", "Time", "Value"))
+    missing = F.raise_error(F.concat(F.lit(f"no {id_param} row in "), F.col("_file"))).cast("long")
+    return (raw.join(ids, "_file", "left")
+            .select(F.coalesce(F.col(id_col).cast("long"), missing).alias(id_col), "Parameter", "Time", "Value"))
 
 
 def read_outcomes(spark: SparkSession, path: str, id_col: str = "RecordID",
