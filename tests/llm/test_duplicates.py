@@ -102,6 +102,19 @@ def test_duplicates_edge_cases(spark, edge, empty):
     assert sorted(r["doc_id"] for r in jaccard.keep_one_per_class(three).collect()) == [0, 3]
 
 
+def test_texts_that_share_an_id_or_have_none(spark):
+    base = [" ".join(random_words(900 + i, 40, 5000)) for i in range(5)]
+    # three texts under no id, two under id 7, near copies of two of them elsewhere
+    texts = [*base[:3], base[3], base[4], base[1] + " x", base[4] + " y", base[0], "!", "?", "!"]
+    ids = [None, None, None, 7, 7, 3, 9, None, None, None, None]
+    docs = docs_of(spark, texts, ids)
+    got = sorted((tuple(r) for r in jaccard.jaccard_classes(docs).collect()), key=repr)
+    want = [(None, None, 0)] * 4 + [(None, None, 1), (3, None, 1), (7, 7, 0), (7, 7, 1), (9, 7, 1)]
+    assert got == sorted(want, key=repr)
+    kept = sorted(r["text"] for r in jaccard.keep_one_row_per_class(docs).collect())
+    assert kept == sorted([*base, "!", "?"])
+
+
 def brute_repeats(texts, k):
     words = [[w.decode() for w in (t or "").encode().split()] for t in texts]
     at = defaultdict(list)

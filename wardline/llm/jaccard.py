@@ -1,8 +1,10 @@
 """N-gram Jaccard join by banded MinHash (operator 5).
 
 1. Equal word sequences are one *text* (its row of least id stands for it).
+   Texts are numbered in the order of that id and, where ids are equal or null,
+   of a digest of the words, so that different texts never share a number.
 2. Each text gets ``bands * rows`` minimum hashes of its set of word n-grams;
-   the values of a band are hashed to one key.  The least id among the texts
+   the values of a band are hashed to one key.  The least number among the texts
    of a key is its *hub*; hubs found in another hub's bucket point to it.
 3. Texts that share a key share a hub, so each hub's members are compared on
    their full n-gram sets.  Large groups are dealt into pairs of blocks; a
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import small_batches, stored, text_or_empty
+from wardline.llm.common import fresh, small_batches, stored, text_or_empty
 from wardline.llm.textops import FOLD, FOLDED_WORDS, find_words, hash_words, join_texts, mix, slices, windows
 
 #: texts in a block, and n-grams in a block, about
@@ -80,7 +82,8 @@ def signatures(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
 
 
 def describe(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """``_id, _digest, _grams (count), _keys`` of each row of ``_id, _text``."""
+    """``_id, _raw, _digest, _grams (count), _keys`` of each row of ``_id, _text``;
+    ``_raw`` is a hash of the text as it is."""
 
     @F.arrow_udf("struct<_digest:binary,_grams:int,_keys:array<long>>")
     def sign(texts: pa.Array) -> pa.Array:
@@ -98,7 +101,8 @@ def describe(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
         return pa.StructArray.from_arrays([pa.array(digest, pa.binary()), pa.array(size, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
                                           ["_digest", "_grams", "_keys"])
 
-    return small_batches(docs).select("_id", sign("_text").alias("_s")).select("_id", "_s.*")
+    return (small_batches(docs).select("_id", F.xxhash64("_text").alias("_raw"), sign("_text").alias("_s"))
+            .select("_id", "_raw", "_s.*"))
 
 
 def smallest_reachable(edges: DataFrame) -> DataFrame:
@@ -209,27 +213,33 @@ def links_of_block(ids: np.ndarray, copies: np.ndarray, side: np.ndarray, sets:
     return found, edges
 
 
-def jaccard_classes(docs: DataFrame, similarity: float = 0.8, n: int = 5, recall: float = 0.9999,
-                    id_col: str = "doc_id", text_col: str = "text", block_texts: int = BLOCK_TEXTS) -> DataFrame:
-    """One row per document: ``id, class_id, n_links``.
+def row_id(id_col: str):
+    """The id as a number; a null one is ``NULL_ID``."""
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
 
-    Two documents are linked if the Jaccard similarity of their sets of
-    ``n``-word runs (folded words) is ``similarity`` or more; ``n_links`` counts
-    the documents linked to a row, copies included, and ``class_id`` is the
-    least id connected with it.  Texts without words are linked to nothing.
-    Rows that repeat an id are one document if their words are equal (else each
-    counts); a null id sorts before all others.  An empty table gives an empty
-    result; other columns are not carried.
+
+def linked_documents(docs: DataFrame, similarity: float, n: int, recall: float, id_col: str, text_col: str,
+                     block_texts: int) -> DataFrame:
+    """One row per document (id and words): ``_id, _raw, _class, _first, n``.
+
+    ``_raw`` is the hash of one of its texts, ``_class`` the least id of its
+    class, ``_first`` whether it is the one document that stands for the class
+    (least id, then least digest), ``n`` its number of links.
     """
     bands, rows = banding(similarity, recall)
-    d = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("_id"), text_or_empty(text_col).alias("_text"))
-    signed = stored(describe(d, n, bands, rows).dropDuplicates(["_id", "_digest"]), "signed")
+    d = docs.select(row_id(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
+    # texts without words have no digest of their own: each counts as it is
+    signed = stored(describe(d, n, bands, rows).withColumn("_bare", F.when(F.col("_grams") == 0, F.col("_raw")))
+                    .dropDuplicates(["_id", "_digest", "_bare"]), "signed")
     full = signed.where(F.col("_grams") > 0)
-    texts = stored(full.groupBy("_digest").agg(F.min("_id").alias("rep"), F.count("*").alias("copies")), "texts")
+    # numbers in the order of (id, digest): partitions are ranges, sorted inside
+    texts = full.groupBy("_digest").agg(F.min("_id").alias("least"), F.min_by("_raw", "_id").alias("raw"), F.count("*").alias("copies"))
+    texts = stored(texts.repartitionByRange("least", "_digest").sortWithinPartitions("least", "_digest")
+                   .withColumn("rep", F.monotonically_increasing_id()), "texts")
 
     # hubs: the least representative of each band key
-    t = texts.select("_digest", "rep")
-    keys = (full.select("_id", "_digest", "_keys").join(t, "_digest").where(F.col("_id") == F.col("rep"))
+    t = texts.select("_digest", "rep", "least")
+    keys = (full.select("_id", "_digest", "_keys").join(t, "_digest").where(F.col("_id") == F.col("least"))
             .select("rep", F.explode("_keys").alias("key")))
     keys = stored(keys, "keys")
     hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).where(F.col("size") > 1)
@@ -240,15 +250,15 @@ def jaccard_classes(docs: DataFrame, similarity: float = 0.8, n: int = 5, recall
 
     # the full sets of the members, once each, then dealt to the block pairs
     mine = member.groupBy("rep").agg(F.array_sort(F.collect_set("hub")).alias("hubs"))
-    who = (texts.join(mine, "rep").select("rep", "copies", "hubs", "_digest"))
-    source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("rep"), text_or_empty(text_col).alias("_text"))
+    who = texts.join(mine, "rep").select("rep", "least", "raw", "copies", "hubs", "_digest")
+    source = d.select(F.col("_id").alias("least"), F.xxhash64("_text").alias("raw"), "_text")
 
     @F.arrow_udf("struct<digest:binary,grams:binary>")
     def gram_sets(texts: pa.Array) -> pa.Array:
         out = [{"digest": dg, "grams": s.tobytes()} for _, part in slices(texts) for s, dg in grams(part, n)]
         return pa.array(out, pa.struct([("digest", pa.binary()), ("grams", pa.binary())]))
 
-    sets = (source.join(who, "rep").withColumn("_g", gram_sets("_text")).where(F.col("_g.digest") == F.col("_digest"))
+    sets = (source.join(who, ["least", "raw"]).withColumn("_g", gram_sets("_text")).where(F.col("_g.digest") == F.col("_digest"))
             .select("rep", "copies", "hubs", F.col("_g.grams").alias("grams")).dropDuplicates(["rep"]))
     sets = stored(sets, "sets")
     # a hub's group is cut by the number of its texts and of their grams
@@ -299,18 +309,47 @@ def jaccard_classes(docs: DataFrame, similarity: float = 0.8, n: int = 5, recall
     counts = out.where(F.col("to").isNull()).groupBy("rep").agg(F.sum("links").alias("links"))
     roots = smallest_reachable(out.where(F.col("to").isNotNull()).select(F.col("rep").alias("a"), F.col("to").alias("b")))
     per_text = (texts.join(counts, "rep", "left").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
-                .select("_digest", F.coalesce("root", "rep").alias("class"),
+                .select("_digest", "rep", "least", F.coalesce("root", "rep").alias("root"),
                         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n")))
+    head = texts.select(F.col("rep").alias("root"), F.col("least").alias("_class"))
+    per_text = per_text.join(head, "root").withColumn("_head", F.when(F.col("rep") == F.col("root"), F.col("least"))).drop("rep", "least", "root")
+    return (signed.select("_id", "_raw", "_digest", "_grams").join(per_text, "_digest", "left")
+            .select("_id", "_raw", F.coalesce("_class", "_id").alias("_class"),
+                    F.coalesce(F.col("_head") == F.col("_id"), F.col("_grams") == 0).alias("_first"),
+                    F.coalesce("n", F.lit(0)).cast("long").alias("n")))
+
+
+def jaccard_classes(docs: DataFrame, similarity: float = 0.8, n: int = 5, recall: float = 0.9999,
+                    id_col: str = "doc_id", text_col: str = "text", block_texts: int = BLOCK_TEXTS) -> DataFrame:
+    """One row per document: ``id, class_id, n_links``.
+
+    Two documents are linked if the Jaccard similarity of their sets of
+    ``n``-word runs (folded words) is ``similarity`` or more; ``n_links`` counts
+    the documents linked to a row, copies included, and ``class_id`` is the
+    least id connected with it.  Texts without words are linked to nothing.
+    Rows that repeat an id (or have none) are one document if their words are
+    equal (without words: their texts), else each counts; a null id sorts before
+    all others.  An empty table gives an empty result; other columns are not
+    carried.
+    """
+    linked = linked_documents(docs, similarity, n, recall, id_col, text_col, block_texts)
     kind = docs.schema[id_col].dataType
     show = lambda c: F.when(F.col(c) != NULL_ID, F.col(c)).cast(kind)
-    return (signed.select("_id", "_digest").join(per_text, "_digest", "left")
-            .withColumn("_class", F.coalesce("class", "_id"))
-            .select(show("_id").alias(id_col), show("_class").alias("class_id"), F.coalesce("n", F.lit(0)).cast("long").alias("n_links")))
+    return linked.select(show("_id").alias(id_col), show("_class").alias("class_id"), F.col("n").alias("n_links"))
+
+
+def keep_one_row_per_class(docs: DataFrame, similarity: float = 0.8, n: int = 5) -> DataFrame:
+    """One row of each class: that of the least id, and of the least digest
+    where ids repeat or are null.  Different texts that share an id or have none
+    are rows of their own."""
+    linked = linked_documents(docs, similarity, n, 0.9999, "doc_id", "text", BLOCK_TEXTS)
+    key, raw = fresh(docs, "_key"), fresh(docs, "_raw")
+    stay = linked.where("_first").select(F.col("_id").alias(key), F.col("_raw").alias(raw))
+    return (docs.withColumn(key, row_id("doc_id")).withColumn(raw, F.xxhash64(text_or_empty("text")))
+            .join(stay, [key, raw], "left_semi").dropDuplicates([key, raw]).select(*docs.columns))
 
 
 def keep_one_per_class(docs: DataFrame, similarity: float = 0.8, n: int = 5) -> DataFrame:
-    """The rows of ``docs`` whose id is its class's least; of rows that repeat
-    an id one stays."""
-    classes = jaccard_classes(docs, similarity, n)
-    stay = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_stay")).distinct()
-    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["_stay"]), "left_semi").dropDuplicates(["doc_id"])
+    """As :func:`keep_one_row_per_class`, and of rows that repeat an id (or have
+    none) one stays: for callers that need unique ids."""
+    return keep_one_row_per_class(docs, similarity, n).dropDuplicates(["doc_id"])
