@@ -53,6 +53,32 @@ def test_labels_of_held_out_rows_are_not_used(spark):
     assert a == b
 
 
+def test_long_clean_texts_are_fitted_and_stay(spark):
+    texts, y = labelled(500)
+    ids = list(range(500))
+    for k in range(60):  # clean, 60,000 characters and more each
+        ids.append(500 + k)
+        texts.append(". ".join(" ".join(random_words(9_000_000 + 2000 * k + j, 8, 300)) for j in range(1800)) + ".")
+        y.append(0)
+    labels = spark.createDataFrame(list(zip(ids, y, strict=True)), "doc_id long, toxic int")
+    out = [r for r in toxicity.toxicity_report(docs_of(spark, texts, ids), labels).collect() if r["held_out"]]
+    assert sum(r["doc_id"] >= 500 for r in out) > 5
+    assert not any(r["predicted"] for r in out if r["doc_id"] >= 500)
+    assert np.mean([r["predicted"] == y[r["doc_id"]] for r in out]) > 0.95
+
+
+def test_bags_hold_every_sentence(spark):
+    words = [w.encode() for w in ("vile", "x")]
+    feats = toxicity.sentences(words)[0]
+    used = np.unique(feats[0]).astype(np.int32)
+    docs = spark.createDataFrame([(0, 1, "a b. vile vile. c! vile d"), (0, 2, ""), (0, 3, "a. " * 50000 + "vile")], "_y int, _id int, _text string")
+    got = {r["_id"]: r for r in toxicity.bags(docs, used).collect()}
+    sents = {i: np.frombuffer(r["sent"], np.int32) for i, r in got.items()}
+    assert [got[i]["plain"] for i in (1, 2, 3)] == [2, 1, 50000]
+    assert [sorted(set(sents[i].tolist())) for i in (1, 2, 3)] == [[0, 1], [], [0]]
+    assert [len(sents[i]) for i in (1, 2, 3)] == [12, 0, 4]
+
+
 def test_noisy_or():
     texts = [b"one two. three four! five", b"", b"...", "é vile\nvile x".encode()]
     feats, sent, doc, lo, hi = toxicity.sentences(texts)

@@ -14,13 +14,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import fresh, small_batches, text_or_empty, worker_cache
+from wardline.llm.common import fresh, small_batches, stored, text_or_empty, worker_cache
 from wardline.llm.textops import FOLD, FOLDED_WORDS, find_words, hash_words, join_texts, slices
 
 #: weights by hashed feature: a table of fixed size, 16 MB
 BITS = 22
-#: labelled rows of each class that the fit reads at most, and characters of each
-MAX_PER_CLASS, MAX_CHARS = 3000, 20_000
+#: labelled rows of each class that the fit reads at most, of any length
+MAX_PER_CLASS = 3000
 #: a feature counts if it occurs in so many documents of the sample, and in
 #: toxic ones more often than in others by so many standard errors
 MIN_DOCS, MIN_Z = 3, 3.0
@@ -68,52 +68,97 @@ def softplus(z):
     return np.logaddexp(0.0, z)
 
 
-def fit(texts: pa.Array, labels: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """Feature numbers, their weights and the intercept.
-
-    A first pass counts the documents of each class that hold a feature and
-    chooses those that speak for the label; a second keeps only these; then
-    full-batch Adam on the weighted log-loss of the noisy-or."""
-    holds = np.zeros((2, 1 << BITS), np.int32)
-    for first, part in slices(texts):
-        f, s, d, _, _ = sentences(part)
-        pairs = np.sort((d[s][:, None] * (1 << BITS) + f).ravel())
-        in_doc, of = np.divmod(pairs[np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]], 1 << BITS)
-        for y in (0, 1):
-            np.add.at(holds[y], of[labels[first + in_doc] == y], 1)
-    n0, n1 = max(1, (labels == 0).sum()), max(1, (labels == 1).sum())
-    likely = np.flatnonzero((holds.sum(axis=0) >= MIN_DOCS) & (holds[1] * n0 > holds[0].astype(np.int64) * n1))
-    share0, share1 = holds[0, likely] / n0, holds[1, likely] / n1
-    pooled = np.clip((holds[0, likely] + holds[1, likely]) / (n0 + n1), 1e-9, 1 - 1e-9)
-    used = likely[share1 - share0 >= MIN_Z * np.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n0))]
-    del holds, likely, share0, share1, pooled
-    number = np.full(1 << BITS, -1, np.int32)
-    number[used] = np.arange(len(used))
+def count_features(sample: DataFrame) -> DataFrame:
+    """``feature, n0, n1``: documents of each class that hold a feature, from
+    rows of ``_y, _text``."""
+
+    def count(batches):
+        holds = np.zeros((2, 1 << BITS), np.int32)
+        for b in batches:
+            y = b.column("_y").to_numpy().astype(np.int64)
+            for first, part in slices(b.column("_text")):
+                f, s, d, _, _ = sentences(part)
+                pairs = np.sort((d[s][:, None] * (1 << BITS) + f).ravel())
+                in_doc, of = np.divmod(pairs[np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]], 1 << BITS)
+                for k in (0, 1):
+                    np.add.at(holds[k], of[y[first + in_doc] == k], 1)
+        at = np.flatnonzero(holds.any(axis=0)).astype(np.int32)
+        for lo in range(0, len(at), 1 << 16):
+            own = at[lo : lo + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(holds[0, own]), pa.array(holds[1, own])], ["feature", "n0", "n1"])
+
+    each = small_batches(sample).select("_y", "_text").mapInArrow(count, "feature int, n0 int, n1 int")
+    return each.groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+
+
+def telling_features(counts: DataFrame, n0: int, n1: int) -> np.ndarray:
+    """Sorted numbers of the features that speak for the label."""
+    h0, h1 = F.col("n0"), F.col("n1")
+    pooled = F.least(F.greatest((h0 + h1) / (n0 + n1), F.lit(1e-9)), F.lit(1 - 1e-9))
+    used = counts.where((h0 + h1 >= MIN_DOCS) & (h1 * n0 > h0 * n1)
+                        & (h1 / n1 - h0 / n0 >= MIN_Z * F.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n0))))
+    return np.sort(used.select("feature").toArrow().column(0).to_numpy().astype(np.int32))
+
+
+def bags(sample: DataFrame, used: np.ndarray) -> DataFrame:
+    """``_y, _id, feats, sent, plain`` of each row: the places in ``used`` of
+    its words' features, the sentence of each, and the number of sentences
+    without any.  The latter all have the same probability, so their number is
+    all that the fit needs, and a long text is small and yet whole."""
+    sent_used = sample.sparkSession.sparkContext.broadcast(used)
+
+    @F.arrow_udf("struct<feats:binary,sent:binary,plain:long>")
+    def bag(texts: pa.Array) -> pa.Array:
+        number = np.full(1 << BITS, -1, np.int32)
+        number[sent_used.value] = np.arange(len(sent_used.value))
+        out = []
+        for _, part in slices(texts):
+            f, s, d, _, _ = sentences(part)
+            f, s = number[f].ravel(), np.repeat(s, f.shape[1])
+            f, s = f[f >= 0], s[f >= 0]
+            of = d[s]  # words come text by text, so the places of a text are a run
+            at = np.searchsorted(of, np.arange(len(part) + 1))
+            n_sent = np.bincount(d, minlength=len(part))
+            for i in range(len(part)):
+                own, at_sent = f[at[i] : at[i + 1]], s[at[i] : at[i + 1]]
+                at_sent = np.cumsum(np.append(0, at_sent[1:] != at_sent[:-1]))[: len(own)].astype(np.int32)
+                full = int(at_sent[-1]) + 1 if len(own) else 0
+                out.append({"feats": own.tobytes(), "sent": at_sent.tobytes(), "plain": int(n_sent[i]) - full})
+        return pa.array(out, pa.struct([("feats", pa.binary()), ("sent", pa.binary()), ("plain", pa.int64())]))
+
+    return small_batches(sample).select("_y", "_id", bag("_text").alias("_b")).select("_y", "_id", "_b.*")
+
+
+def fit(rows: pa.Table, labels: np.ndarray, weight: np.ndarray, n_used: int) -> tuple[np.ndarray, float]:
+    """Weights of the used features and the intercept: full-batch Adam on the
+    weighted log-loss of the noisy-or of each row of ``bags``."""
     feats, sent, doc = [], [], []
     n_sent = 0
-    for first, part in slices(texts):
-        f, s, d, _, _ = sentences(part)
-        f, s = number[f].ravel(), np.repeat(s, f.shape[1])
-        feats.append(f[f >= 0])
-        sent.append((s[f >= 0] + n_sent).astype(np.int32))
-        doc.append((d + first).astype(np.int32))
-        n_sent += len(d)
-    feats, sent, doc = (np.concatenate(x) if x else np.zeros(0, np.int32) for x in (feats, sent, doc))
-    w = np.zeros(len(used) + 1)  # the last is the intercept
+    for i, (f, s) in enumerate(zip(rows.column("feats"), rows.column("sent"), strict=True)):
+        s = np.frombuffer(s.as_py(), np.int32)
+        feats.append(np.frombuffer(f.as_py(), np.int32))
+        sent.append(s + np.int32(n_sent))
+        k = int(s[-1]) + 1 if len(s) else 0
+        doc.append(np.full(k, i, np.int32))
+        n_sent += k
+    feats, sent, doc = (np.concatenate(x) for x in (feats, sent, doc))
+    plain = rows.column("plain").to_numpy().astype(np.float64)
+    w = np.zeros(n_used + 1)  # the last is the intercept
     w[-1] = -5.0
     m, v = np.zeros_like(w), np.zeros_like(w)
     weight = weight / weight.sum()
     for t in range(1, STEPS + 1):
         z = w[-1] + np.bincount(sent, weights=w[feats], minlength=n_sent)
-        total = np.maximum(np.bincount(doc, weights=softplus(z), minlength=len(texts)), 1e-9)
+        total = np.maximum(np.bincount(doc, weights=softplus(z), minlength=len(labels)) + plain * softplus(w[-1]), 1e-9)
         slope = weight * np.where(labels == 1, -1.0 / np.expm1(np.minimum(total, 50)), 1.0)
         by_sent = slope[doc] / (1 + np.exp(-np.clip(z, -50, 50)))
-        g = np.append(np.bincount(feats, weights=by_sent[sent], minlength=len(used)), by_sent.sum())
+        by_plain = (slope * plain).sum() / (1 + np.exp(-np.clip(w[-1], -50, 50)))
+        g = np.append(np.bincount(feats, weights=by_sent[sent], minlength=n_used), by_sent.sum() + by_plain)
         g[:-1] += DECAY * w[:-1]
         m += 0.1 * (g - m)
         v += 0.01 * (g * g - v)
         w -= RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
-    return used, w[:-1].astype(np.float32), float(w[-1])
+    return w[:-1].astype(np.float32), float(w[-1])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -121,9 +166,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on at most ``MAX_PER_CLASS`` labelled rows of each class.
 
     Rows are taken in the order of a hash of the id, so the sample is the same
-    in every run; texts above ``MAX_CHARS`` are not sampled.  A repeated label
-    row counts once (the larger label), a null id or label not at all.  One
-    task fits the bounded sample.
+    in every run; a text's length plays no part, and all of its sentences count.
+    A repeated label row counts once (the larger label), a null id or label not
+    at all.  Features are counted and bags made row by row in many tasks; one
+    task fits the bounded number of bags.
     """
     label = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
              .groupBy(F.col(id_col).alias("_id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("_y")))
@@ -133,23 +179,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         top = label.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(MAX_PER_CLASS)
         picked = top if picked is None else picked.unionAll(top)
     texts = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
-    sample = (texts.where(F.length("_text") <= MAX_CHARS)
-              .join(F.broadcast(picked), "_id").dropDuplicates(["_id"]).select("_y", "_text"))
+    sample = stored(texts.join(F.broadcast(picked), "_id").dropDuplicates(["_id"]).select("_y", "_id", "_text"), "sample")
     share = [counts.get(y, 0) / max(1, min(counts.get(y, 0), MAX_PER_CLASS)) for y in (0, 1)]
+    have = {r["_y"]: r["count"] for r in sample.groupBy("_y").count().collect()}
+    if len(have) < 2:
+        return b"", b"", -5.0
+    used = telling_features(count_features(sample), have[0], have[1])
 
     def run(batches):
-        batches = list(batches)
-        held = pa.Table.from_batches(batches) if batches else None
-        used, w, b0 = np.zeros(0, np.int64), np.zeros(0, np.float32), -5.0
-        if held is not None and held.num_rows:
-            held = held.sort_by([("_y", "ascending"), ("_text", "ascending")])  # the batches come in any order
-            y = held.column("_y").to_numpy().astype(np.int64)
-            if y.min() < y.max():
-                used, w, b0 = fit(held.column("_text"), y, np.array(share)[y])
-        yield pa.RecordBatch.from_pydict({"used": [used.astype(np.int32).tobytes()], "weight": [w.tobytes()], "base": [b0]})
-
-    row = sample.repartition(1).mapInArrow(run, "used binary, weight binary, base double").first()
-    return (bytes(row["used"]), bytes(row["weight"]), row["base"]) if row else (b"", b"", -5.0)
+        held = pa.Table.from_batches(list(batches)).sort_by([("_y", "ascending"), ("_id", "ascending")])  # the batches come in any order
+        y = held.column("_y").to_numpy().astype(np.int64)
+        w, b0 = fit(held, y, np.array(share)[y], len(used))
+        yield pa.RecordBatch.from_pydict({"weight": [w.tobytes()], "base": [b0]})
+
+    row = bags(sample, used).repartition(1).mapInArrow(run, "weight binary, base double").first()
+    return used.tobytes(), bytes(row["weight"]), row["base"]
 
 
 def score_documents(docs: DataFrame, model: tuple[bytes, bytes, float], text_col: str = "text",
