@@ -121,3 +121,8 @@ def test_redaction(spark, edge, empty):
     assert out.columns == edge.columns and out.count() == edge.count()
     assert {r["rules"] for r in out.collect()} == {"own"}
     assert secrets.redact(empty).count() == 0
+
+
+def test_very_long_runs_of_zeros_in_an_address():
+    text = "0" * 5000 + ".1.1.1 and 256.1.1.1"
+    assert [s for s in pii.find_spans(text, pii.anchors()) if s[0] == "ip"] == [("ip", 0, 5006)]

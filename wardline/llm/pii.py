@@ -81,7 +81,7 @@ def find_spans(text: str, automaton: ahocorasick.Automaton) -> list[tuple[str, i
                 for k in range(0, len(parts) - 3, 4):
                     four = parts[k : k + 4]
                     end = start + sum(map(len, four)) + 3
-                    if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in four):
+                    if all(len(x.lstrip("0")) <= 3 and int(x.lstrip("0") or 0) <= 255 for x in four):
                         out.append(("ip", start, end))
                     start = end + 1
             if at >= read["run"]:
