@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import long_df
+from long_records import long_df
 from wardline.functions.timefmt import hhmm_to_minutes, minutes_to_bin
 from wardline.operators.grid import aggregate_duplicates, time_grid
 from wardline.operators.quality import apply_long_rules, apply_wide_rules

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import long_df
+from long_records import long_df
 from wardline.operators.scale import apply_minmax, apply_standard, fit_minmax, fit_standard
 from wardline.operators.text import feature_phrase, rating_to_class, rating_to_probability, summaries
 from wardline.operators.tuples import (

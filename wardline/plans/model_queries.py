@@ -82,7 +82,7 @@ _SQL_VIEWS = _SQL_TENSOR + f""",
 
 
 def _sql_round2(col: str) -> str:
-    return f"list_transform({col}, lambda p: list_transform(p, lambda q: round(q, 6)))"
+    return f"list_transform({col}, lambda p: list_transform(p, lambda q: round(q, 6) + 0.0))"
 
 
 _N = len(_GV)
@@ -104,9 +104,9 @@ SELECT RecordID, {_sql_round2("a")} AS x_feature_masked, {_sql_round2("b")} AS x
 _SQL_TRIPLET_VIEWS = SQL_PACKED + f""",
   v AS (SELECT RecordID, view, t, z, v, {_VIEW_KEY} AS key FROM packed, (SELECT unnest([1, 2]) AS view))
 SELECT RecordID, view, list_transform(range(1, len(z) + 1), lambda i: {{
-  't': round(t[i] + ({sql_uniform(SEED, "key", "i - 1", "1")} * 2 - 1) * {TRIPLET_TIME_SHIFT}, 6), 'z': z[i],
+  't': round(t[i] + ({sql_uniform(SEED, "key", "i - 1", "1")} * 2 - 1) * {TRIPLET_TIME_SHIFT}, 6) + 0.0, 'z': z[i],
   'v': round(CASE WHEN {sql_uniform(SEED, "key", "i - 1", "3")} < {TRIPLET_DROPOUT} THEN 0.0
-             ELSE v[i] + {TRIPLET_JITTER_STD} * {sql_normal(SEED, "key", "i - 1", "2")} END, 6)}}) AS triplets
+             ELSE v[i] + {TRIPLET_JITTER_STD} * {sql_normal(SEED, "key", "i - 1", "2")} END, 6) + 0.0}}) AS triplets
 FROM v"""
 
 BATCH = 32

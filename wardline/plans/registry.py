@@ -33,7 +33,7 @@ def register(name: str, sql: str | None = None):
 def rounded_value(c, kind, digits: int):
     """``c`` of type ``kind`` with every double or float inside it rounded."""
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return F.round(c.cast("double"), digits)
+        return F.round(c.cast("double"), digits) + F.lit(0.0)  # a negative zero becomes zero
     if "double" not in kind.simpleString() and "float" not in kind.simpleString():
         return c
     if isinstance(kind, T.ArrayType):
@@ -51,4 +51,4 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 def r(expr: str, digits: int = DIGITS) -> str:
     """SQL rounding helper for the oracle text."""
-    return f"round(CAST({expr} AS DOUBLE), {digits})"
+    return f"(round(CAST({expr} AS DOUBLE), {digits}) + 0.0)"
