@@ -8,7 +8,9 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import chat, decontam, jaccard, mixing, pii, quality, secrets, substrings, tokens, toxicity
+from wardline.llm import (
+    audit, chat, decontam, jaccard, lexical, mixing, pii, quality, secrets, substrings, syncmers, tokens, toxicity,
+)
 from wardline.llm.common import table
 
 #: the tokenizer file of the token counts, unless WARDLINE_TOKENIZER names another
@@ -68,9 +70,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op11_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 LLM_QUERIES = {f.__name__: f for f in (
     op1_pii, op2_decontamination, op3_token_counts, op4_secrets, op5_jaccard_join, op6_toxicity, op7_substring_dedup,
-    op8_mixing, op9_chat_format, op10_quality_rules)}
+    op8_mixing, op9_chat_format, op10_quality_rules, op11_syncmers, op12_source_divergence, op13_lexical_search)}
 
 FOLDED = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -161,6 +175,44 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM r
 """
 
+LETTERS = r"[^\x00-\x60\x7B-\x7F]+"  # after folding
+_SHARE = f"1 + ({audit.SCALE} * ({{n}} + {audit.PRIOR})::HUGEINT) // ({{total}} + {audit.PRIOR} * terms)"
+
+DIVERGENCE = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all({LOWER.format("coalesce(text, '')")}, '{LETTERS}') AS w FROM documents),
+tf AS (SELECT r, lang, source, term, count(*) AS n FROM (SELECT r, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+k AS (SELECT lang, term, sum(n) AS c FROM tf GROUP BY ALL HAVING count(*) >= {audit.LEAST_DOCS}),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS terms, sum(c) AS total FROM k GROUP BY lang),
+own AS (SELECT lang, source, term, sum(n) AS n FROM tf SEMI JOIN k USING (lang, term) GROUP BY ALL),
+m AS (SELECT g.lang, g.source, k.term, coalesce(own.n, 0) AS n, k.c, v.terms, v.total AS lang_total,
+             sum(coalesce(own.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total
+      FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN own USING (lang, source, term)),
+p AS (SELECT lang, source, term, n, {_SHARE.format(n="n", total="total")} AS p, {_SHARE.format(n="c", total="lang_total")} AS q FROM m),
+gap AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+rows AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(gap.value, 0) AS value
+         FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+         LEFT JOIN gap ON gap.lang = a.lang AND gap.source = a.source AND gap.item = b.source
+         UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM rows)
+WHERE part = 'pair' OR rank <= {audit.TOP}
+"""
+
+SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '{FOLDED}') AS w FROM documents),
+s AS (SELECT count(*) FILTER (len(w) > 0) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({LOWER.format("coalesce(text, '')")}, '{FOLDED}')) AS term FROM benchmark),
+tf AS (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d),
+p AS (SELECT r, doc_id, n, term, count(*) AS tf FROM tf SEMI JOIN q USING (term) GROUP BY ALL),
+df AS (SELECT term, CAST(floor(1000 * ln((2 * (SELECT n FROM s) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p GROUP BY term),
+score AS (SELECT item_id, r, doc_id, CAST(sum(w * (({lexical.SCALE} * tf) // (1000 * tf + 20 * (100 - {lexical.SHARE} + (({lexical.SHARE} * p.n * s.n) // s.l))))) AS BIGINT) AS score
+          FROM q JOIN p USING (term) JOIN df USING (term), s GROUP BY item_id, r, doc_id)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM score WHERE score > 0) WHERE rank <= 50
+"""
+
 LLM_ORACLE = {
     "op2_decontamination": DECONTAMINATION,
     "op5_jaccard_join": JACCARD,
@@ -168,4 +220,6 @@ LLM_ORACLE = {
     "op8_mixing": mixing.ORACLE,
     "op9_chat_format": chat.ORACLE,
     "op10_quality_rules": QUALITY,
+    "op12_source_divergence": DIVERGENCE,
+    "op13_lexical_search": SEARCH,
 }

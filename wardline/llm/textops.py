@@ -95,3 +95,21 @@ def slices(texts: pa.Array | pa.ChunkedArray, limit: int = 1 << 20):
         last = max(first + 1, int(np.searchsorted(upto, done + limit, "right")))
         yield first, texts.slice(first, last - first).cast(pa.binary()).to_pylist()
         first = last
+
+
+def word_runs(text: bytes, table: bytes, limit: int = 1 << 20):
+    """Words of a text in lists of about ``limit`` bytes: ``table`` maps every
+    byte to itself, to its folded form or, between words, to a blank."""
+    if len(text) <= limit:
+        yield text.translate(table).split()
+        return
+    folded, at = text.translate(table), 0
+    while at < len(folded):
+        end = at + limit
+        if end < len(folded):
+            cut = folded.rfind(b" ", at, end)
+            if cut < 0:
+                cut = folded.find(b" ", end)
+            end = len(folded) if cut < 0 else cut
+        yield folded[at:end].split()
+        at = end + 1
