@@ -30,9 +30,11 @@ PRIOR, SCALE = 5, 1_000_000_000
 #: terms of a group that are listed
 TOP = 50
 #: counted (source, term) entries that a task holds at most before it writes them
-HELD = 400_000
+HELD = 1_000_000
 #: sources and terms of one block of the pairwise sums
 BLOCK_SOURCES, BLOCK_TERMS = 256, 2048
+#: bits of the map that thins the terms before a join (2 MB)
+MAP_BITS = 24
 
 COUNTED = "lang string, term string, docs long, sources array<string>, counts array<long>"
 
@@ -44,23 +46,22 @@ def count_terms(groups: DataFrame) -> DataFrame:
                         ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
 
     def rows(lang: str, docs: Counter, by_source: dict[str, Counter]):
-        lists: dict[bytes, list] = {}
-        for s, (_, counts) in enumerate(by_source):
-            for term, n in counts.items():
-                lists.setdefault(term, []).append((s, n))
-        names = pa.array([s for s, _ in by_source], pa.string())
-        terms = sorted(lists)
-        for at in range(0, len(terms), 20_000):
-            some = terms[at : at + 20_000]
-            ends = np.zeros(len(some) + 1, np.int32)
-            np.cumsum([len(lists[t]) for t in some], out=ends[1:])
-            flat = np.array([x for t in some for x in lists[t]], np.int64).reshape(-1, 2)
-            offsets = pa.array(ends, pa.int32())
+        names = pa.array(list(by_source), pa.string())
+        entries = pa.array([t for c in by_source.values() for t in c], pa.binary()).dictionary_encode()
+        source = np.repeat(np.arange(len(by_source)), [len(c) for c in by_source.values()])
+        n = np.fromiter((x for c in by_source.values() for x in c.values()), np.int64, len(source))
+        number = entries.indices.to_numpy()
+        order = np.argsort(number, kind="stable")
+        ends = np.zeros(len(entries.dictionary) + 1, np.int64)
+        np.cumsum(np.bincount(number, minlength=len(entries.dictionary)), out=ends[1:])
+        held = np.fromiter((docs[t] for t in entries.dictionary.to_pylist()), np.int64, len(entries.dictionary))
+        for at in range(0, len(held), 20_000):
+            to = min(at + 20_000, len(held))
+            some, offsets = order[ends[at] : ends[to]], pa.array((ends[at : to + 1] - ends[at]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([
-                pa.array([lang] * len(some), pa.string()), pa.array(some, pa.binary()).cast(pa.string()),
-                pa.array([docs[t] for t in some], pa.int64()),
-                pa.ListArray.from_arrays(offsets, pc.take(names, pa.array(flat[:, 0]))),
-                pa.ListArray.from_arrays(offsets, pa.array(flat[:, 1]))], schema=schema)
+                pa.array([lang] * (to - at), pa.string()), entries.dictionary.slice(at, to - at).cast(pa.string()), pa.array(held[at:to]),
+                pa.ListArray.from_arrays(offsets, pc.take(names, pa.array(source[some]))),
+                pa.ListArray.from_arrays(offsets, pa.array(n[some]))], schema=schema)
 
     def count(batches):
         docs: dict[str, Counter] = {}
@@ -68,7 +69,7 @@ def count_terms(groups: DataFrame) -> DataFrame:
 
         def flush():
             for lang in groups:
-                yield from rows(lang, docs[lang], list(groups[lang].items()))
+                yield from rows(lang, docs[lang], groups[lang])
             docs.clear(), groups.clear()
 
         held = 0
@@ -90,13 +91,28 @@ def count_terms(groups: DataFrame) -> DataFrame:
     return small_batches(groups).mapInArrow(count, COUNTED)
 
 
+def probably_in(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``lang, digest`` is not in ``keys``,
+    and with all others: a join still has to follow, of fewer rows.
+
+    The keys mark bits of a map of ``1 << MAP_BITS`` bits, which is a table of
+    64-bit words with a bounded number of rows, however many keys there are.
+    """
+    bit = F.xxhash64("lang", "digest").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
+    within = bit.bitwiseAND(F.lit(63)).cast("int")
+    word = F.shiftright(bit, 6)
+    words = stored(keys.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), within)).alias("_bits")), "audit-map")
+    return (rows.withColumn("_at", word).join(F.broadcast(words), F.col("_at") == F.col("_word"))
+            .where(F.getbit("_bits", within) == 1).drop("_at", "_word", "_bits"))
+
+
 def kept_terms(counted: DataFrame, least_docs: int) -> DataFrame:
     """``lang, digest, sub, term``: the terms in ``least_docs`` documents of
     their language or more.  ``sub`` is 0, or from 1 where terms share a digest."""
     frequent = stored(counted.groupBy("lang", "digest").agg(F.sum("docs").alias("_docs")).where(F.col("_docs") >= least_docs)
                       .select("lang", "digest"), "audit-digests")
     # strings of candidate digests only
-    ends = stored(counted.join(frequent, ["lang", "digest"], "left_semi").groupBy("lang", "digest")
+    ends = stored(probably_in(counted, frequent).join(frequent, ["lang", "digest"], "left_semi").groupBy("lang", "digest")
                   .agg(F.min("term").alias("lo"), F.max("term").alias("hi")), "audit-terms")
     clean = ends.where(F.col("lo") == F.col("hi")).select("lang", "digest", F.lit(0).alias("sub"), F.col("lo").alias("term"))
     shared = ends.where(F.col("lo") != F.col("hi")).select("lang", "digest")
@@ -122,7 +138,7 @@ def pair_sums(shares: DataFrame, groups: DataFrame, block_sources: int, block_te
     source blocks over one block of terms.  ``shares`` lists the occurring
     terms; ``rest`` is the share of a term that the source lacks.
     """
-    langs = groups.groupBy("lang").agg(F.count("*").alias("_n"), F.max("terms").alias("_v"))
+    langs = stored(groups.groupBy("lang").agg(F.count("*").alias("_n"), F.max("terms").alias("_v")), "audit-blocks")
     dealt = (groups.join(langs, "lang").withColumn("_nb", F.ceil(F.col("_n") / block_sources).cast("int"))
              .withColumn("_ns", F.greatest(F.ceil(F.col("_v") / block_terms), F.lit(1)).cast("int"))
              .withColumn("own", F.pmod(F.xxhash64("source"), F.col("_nb")).cast("int"))
@@ -184,11 +200,11 @@ def divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP, la
     kept = stored(kept_terms(counted, least_docs), "audit-vocabulary")
     each = F.explode(F.arrays_zip("sources", "counts")).alias("e")
     split = F.col("k.sub") > 0
-    hit = counted.alias("c").join(kept.alias("k"), (F.col("c.lang") == F.col("k.lang")) & (F.col("c.digest") == F.col("k.digest"))
+    hit = probably_in(counted, kept).alias("c").join(kept.alias("k"), (F.col("c.lang") == F.col("k.lang")) & (F.col("c.digest") == F.col("k.digest"))
                                   & (~split | (F.col("c.term") == F.col("k.term"))))
     per_group = stored(hit.select("c.lang", "c.digest", "k.sub", each)
                        .groupBy("lang", F.col("e.sources").alias("source"), "digest", "sub").agg(F.sum("e.counts").alias("n")), "audit-groups")
-    langs = kept.groupBy("lang").agg(F.count("*").alias("terms"))
+    langs = stored(kept.groupBy("lang").agg(F.count("*").alias("terms")), "audit-languages")
     totals = per_group.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = stored(own.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
                     .fillna(0, ["total", "terms"]), "audit-sizes")
@@ -204,7 +220,7 @@ def divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP, la
     pair_rows = pair_rows.withColumn("rank", F.row_number().over(by_value))
 
     of_lang = per_group.groupBy("lang", "digest", "sub").agg(F.sum("n").alias("n"))
-    lang_total = of_lang.groupBy("lang").agg(F.sum("n").alias("total"), F.count("*").alias("terms"))
+    lang_total = stored(totals.groupBy("lang").agg(F.sum("total").alias("total")).join(langs, "lang"), "audit-totals")
     q = of_lang.join(lang_total, "lang").select("lang", "digest", "sub", share(F.col("n"), F.col("total"), F.col("terms")).alias("q"))
     above = (shares.join(q, ["lang", "digest", "sub"]).where(F.col("p") > F.col("q"))
              .select("lang", "source", "digest", "sub", (F.col("p") - F.col("q")).alias("value")))
