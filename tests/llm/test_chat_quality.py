@@ -124,6 +124,31 @@ def test_thresholds_adapt_and_clean_rows_stay(spark, empty):
     assert quality.quality_report(empty).count() == 0
 
 
+@pytest.mark.parametrize("dirty", [0, 5, 15, 30])
+def test_dirty_rows_go_whatever_their_share(spark, dirty):
+    texts, bad = [], set()
+    for i in range(400):
+        w = random_words(i, 60, 4000)
+        if i % 100 < dirty:
+            bad.add(i)
+            w = [[x + "$$" for x in w], [x + "longsuffix" for x in w]][i % 2]
+        texts.append(" ".join(w))
+    df = docs_of(spark, texts).withColumn("lang", F.lit("en")).withColumn("source", F.when(F.col("doc_id") < 200, "a").otherwise("b"))
+    kept = {r["doc_id"] for r in quality.quality_report(df).collect() if r["kept"]}
+    assert kept == set(range(400)) - bad
+
+
+def test_a_group_may_be_stricter_than_another(spark):
+    # many symbols are usual in "code", and the same share of them fails in "web"
+    texts = [" ".join(x + ("##" if i % 2 or i >= 300 else "") for x in random_words(i, 60, 4000)) for i in range(320)]
+    df = docs_of(spark, texts).withColumn("lang", F.lit("en")).withColumn(
+        "source", F.when((F.col("doc_id") % 2 == 1) & (F.col("doc_id") < 300), "code").otherwise("web"))
+    kept = {r["doc_id"] for r in quality.quality_report(df).collect() if r["kept"]}
+    assert kept == set(range(300))
+    limits = {r["source"]: r["symbol_ratio"] for r in quality.thresholds(quality.ratios(quality.measures(df.drop("n_chars")))).collect()}
+    assert limits["web"] < 0.2 < limits["code"]
+
+
 def test_sketches_merge_and_bound_the_error(spark):
     rng = random.Random(8)
     xs = [rng.lognormvariate(0, 1) for _ in range(5000)]

@@ -20,13 +20,14 @@ SYMBOL = r"[#*$%&|<>]"
 
 #: buckets grow by this factor, so quantiles are right within about 2.5 percent
 GROWTH = 1.05
-#: groups of fewer rows take the thresholds of their language, then of all rows
-LEAST_ROWS = 50
-#: a measure fails above ``q + SPREAD * (q - median)``, q the quantile UPPER,
-#: and never below its floor
-UPPER, SPREAD = 0.9, 3.0
-#: measure -> floor of its threshold
-RULES = {"symbol_ratio": 0.1, "dup_line_ratio": 0.5, "repeat_ratio": 0.2, "word_length": 12.0}
+#: a group's fence counts like this many rows of the next wider group's fence
+PRIOR_ROWS = 20
+#: a fence is ``median + SPREAD * (median - lower quartile) + slack``: of two
+#: quantiles that even a dirty third of a group does not move
+LOWER, SPREAD = 0.25, 4.0
+#: measure -> (slack, highest limit); the slack is what a group without any
+#: spread may still deviate, and a share cannot exceed 1
+RULES = {"symbol_ratio": (0.05, 1.0), "dup_line_ratio": (0.4, 1.0), "repeat_ratio": (0.2, 1.0), "word_length": (1.5, 1e9)}
 
 
 def let(value: Column, body) -> Column:
@@ -107,19 +108,20 @@ def sketch_quantiles(sk: DataFrame, keys: list[str], qs: dict[str, float]) -> Da
 def thresholds(df: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """``lang, source`` and one threshold per rule, from the sketches."""
     fine = stored(sketch(df.select(F.col(lang).alias("lang"), F.col(source).alias("source"), *RULES), ["lang", "source"], list(RULES)), "sketch")
-    qs = {"mid": 0.5, "top": UPPER}
+    qs = {"low": LOWER, "mid": 0.5}
     by_group = sketch_quantiles(fine, ["lang", "source"], qs)
     by_lang = sketch_quantiles(merged(fine, ["lang"]), ["lang"], qs)
     overall = sketch_quantiles(merged(fine, []), [], qs)
-    fence = lambda d: d["top"] + F.lit(SPREAD) * (d["top"] - d["mid"])
+    of_rule = lambda i: F.create_map(*[F.lit(x) for k, v in RULES.items() for x in (k, v[i])])
+    fence = lambda d: F.least(d["mid"] + F.lit(SPREAD) * (d["mid"] - d["low"]) + of_rule(0)[d["measure"]], of_rule(1)[d["measure"]])
+    shrunk = lambda rows, own, wide: (rows * own + F.lit(float(PRIOR_ROWS)) * wide) / (rows + F.lit(float(PRIOR_ROWS)))
     lang_fence = by_lang.select(F.col("lang").alias("_l"), F.col("measure").alias("_lm"), F.col("rows").alias("_ln"), fence(by_lang).alias("_lf"))
     all_fence = overall.select(F.col("measure").alias("_am"), fence(overall).alias("_af"))
     own = by_group.withColumn("_f", fence(by_group))
     full = (own.join(lang_fence, own["lang"].eqNullSafe(lang_fence["_l"]) & (own["measure"] == lang_fence["_lm"]))
             .join(all_fence, F.col("measure") == F.col("_am")))
-    limit = F.when(F.col("rows") >= LEAST_ROWS, F.col("_f")).when(F.col("_ln") >= LEAST_ROWS, F.col("_lf")).otherwise(F.col("_af"))
-    floors = F.create_map(*[F.lit(x) for kv in RULES.items() for x in kv])
-    return (full.select("lang", "source", "measure", F.greatest(limit, floors[F.col("measure")]).alias("limit"))
+    limit = shrunk(F.col("rows"), F.col("_f"), shrunk(F.col("_ln"), F.col("_lf"), F.col("_af")))
+    return (full.select("lang", "source", "measure", limit.alias("limit"))
             .groupBy("lang", "source").pivot("measure", list(RULES)).agg(F.max("limit")))
 
 
@@ -128,7 +130,8 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", lang: str = "lang",
 
     ``base_failed``: fewer than 20 words, or more than 30 percent of the words
     in repeated 8-word windows.  Otherwise a row is kept unless a measure lies
-    above its group's threshold.  A null text is empty and fails; null
+    above its group's threshold, which is shrunk towards its language's and the
+    corpus' by row counts and may be stricter or looser than theirs.  A null text is empty and fails; null
     languages and sources form groups of their own; repeated rows count each;
     an empty table gives an empty result.
     """

@@ -136,18 +136,19 @@ _LOG = f"ln({quality.GROWTH})"
 
 
 def _fence(keys: str) -> str:
-    """Thresholds of one level: quantiles of the buckets, then the fence."""
+    """Fences of one level, from quantiles of the buckets."""
     group = f"{keys}, measure" if keys else "measure"
+    at = lambda q: f"min(CASE WHEN upto >= ceil({q} * rows) THEN edge END)"
+    slack, top = ("CASE measure " + " ".join(f"WHEN '{k}' THEN {v[i]}" for k, v in _RULES) + " END" for i in (0, 1))
     return f"""
-      SELECT {group}, max(rows) AS rows,
-             min(CASE WHEN upto >= ceil({quality.UPPER} * rows) THEN edge END)
-             + {quality.SPREAD} * (min(CASE WHEN upto >= ceil({quality.UPPER} * rows) THEN edge END) - min(CASE WHEN upto >= ceil(0.5 * rows) THEN edge END)) AS f
+      SELECT {group}, max(rows) AS rows, least({at(0.5)} + {quality.SPREAD} * ({at(0.5)} - {at(quality.LOWER)}) + {slack}, {top}) AS f
       FROM (SELECT {group}, CASE WHEN bucket = -1000 THEN 0.0 ELSE pow({quality.GROWTH}, bucket) END AS edge,
                    sum(n) OVER (PARTITION BY {group} ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {group}) AS rows
             FROM (SELECT {group}, bucket, sum(n) AS n FROM sk GROUP BY {group}, bucket))
       GROUP BY {group}"""
 
 
+_W = float(quality.PRIOR_ROWS)
 QUALITY = f"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{BLANK}') AS w,
                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM documents),
@@ -162,13 +163,13 @@ r AS (SELECT *, CASE WHEN word_chars > 0 THEN n_symbols / word_chars ELSE 0.0 EN
              CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0.0 END AS dup_line_ratio,
              CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0.0 END AS repeat_ratio,
              CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0.0 END AS word_length FROM m),
-v AS ({" UNION ALL ".join(f"SELECT doc_id, lang, source, '{c}' AS measure, {c} AS x, {floor} AS floor FROM r" for c, floor in _RULES)}),
+v AS ({" UNION ALL ".join(f"SELECT doc_id, lang, source, '{c}' AS measure, {c} AS x FROM r" for c, _ in _RULES)}),
 sk AS (SELECT lang, source, measure, CASE WHEN x <= 1e-6 THEN -1000 ELSE CAST(ceil(ln(x) / {_LOG}) AS INT) END AS bucket, count(*) AS n FROM v GROUP BY ALL),
 fine AS ({_fence("lang, source")}), mid AS ({_fence("lang")}), coarse AS ({_fence("")}),
 bad AS (SELECT DISTINCT v.doc_id FROM v
         JOIN fine ON fine.lang IS NOT DISTINCT FROM v.lang AND fine.source IS NOT DISTINCT FROM v.source AND fine.measure = v.measure
         JOIN mid ON mid.lang IS NOT DISTINCT FROM v.lang AND mid.measure = v.measure JOIN coarse ON coarse.measure = v.measure
-        WHERE v.x > greatest(v.floor, CASE WHEN fine.rows >= {quality.LEAST_ROWS} THEN fine.f WHEN mid.rows >= {quality.LEAST_ROWS} THEN mid.f ELSE coarse.f END))
+        WHERE v.x > (fine.rows * fine.f + {_W} * ((mid.rows * mid.f + {_W} * coarse.f) / (mid.rows + {_W}))) / (fine.rows + {_W}))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept
