@@ -88,13 +88,69 @@ def test_noisy_or():
     assert math.isclose(-math.expm1(-toxicity.softplus(z).sum()), 1 - (1 - 1 / (1 + math.e)) * (1 - 1 / (1 + math.exp(-0.5))))
 
 
+def test_loss_and_gradient_like_plain():
+    rng = np.random.default_rng(1)
+    doc = np.array([0, 0, 1, 3, 3, 3])  # document 2 has no telling sentence
+    sent, feats = np.array([0, 0, 1, 2, 3, 4, 5, 5]), np.array([0, 2, 1, 1, 3, 0, 2, 2])
+    labels, weight, w = np.array([1, 0, 0, 1]), np.array([0.1, 0.4, 0.3, 0.2]), rng.normal(size=6)
+
+    def plain(w):
+        loss = 0.0
+        for d in range(4):
+            clean = 1 - 1 / (1 + math.exp(-w[-1]))
+            for s in np.flatnonzero(doc == d):
+                clean *= 1 - 1 / (1 + math.exp(-w[-2] - sum(w[f] for f, at in zip(feats, sent, strict=True) if at == s)))
+            loss -= weight[d] * math.log(1 - clean if labels[d] else clean)
+        return loss + toxicity.DECAY / 2 * float(w[:-2] @ w[:-2])
+
+    loss, g = toxicity.loss_and_gradient(w, feats, sent, doc, labels, weight)
+    assert math.isclose(loss, plain(w))
+    for k in range(6):
+        step = np.eye(6)[k] * 1e-6
+        assert math.isclose(g[k], (plain(w + step) - plain(w - step)) / 2e-6, rel_tol=1e-5, abs_tol=1e-9)
+
+
+def test_scores_like_plain(spark):
+    words = ["vile", "grim", "plain", "other"]
+    number = {x: [int(f) for f in toxicity.sentences([x.encode()])[0][0]] for x in words}
+    used = sorted({f for x in ("vile", "grim") for f in number[x]})
+    weight = {f: 0.4 + 0.1 * i for i, f in enumerate(used)}
+    model = (np.array(used, np.int32).tobytes(), np.array([weight[f] for f in used], np.float32).tobytes(), -2.5, -4.0)
+    texts = ["vile plain. other other! grim", "plain. other", "", None, "Vile VILE vile\nplain", "grim other. " * 400, "plain. " * 100_000]
+    rows = toxicity.score_documents(docs_of(spark, texts), model).orderBy("doc_id").collect()
+    for text, r in zip(texts, rows, strict=True):
+        clean = 1 - 1 / (1 + math.exp(4.0))
+        for s in (text or "").replace("!", ".").replace("\n", ".").split("."):
+            own = [f for x in s.lower().split() for f in number[x] if f in weight]
+            if own:
+                p = 1 / (1 + math.exp(2.5 - sum(float(np.float32(weight[f])) for f in own)))
+                clean *= 1 - p**3 / (p * p + toxicity.DOUBT**2)
+        assert math.isclose(r["_tox"]["score"], 1 - clean, rel_tol=1e-6)
+
+
+def test_very_long_clean_texts_stay_and_one_toxic_sentence_lifts_them(spark):
+    _, _, docs, labels = tables(spark)
+    model = toxicity.train(docs, labels.where(~toxicity.held_out()))
+    rng = random.Random(11)
+    clean = ". ".join(" ".join(f"w{rng.randrange(300)}" for _ in range(8)) for _ in range(100_000))
+    bad = clean + ". " + " ".join(["w1", BAD[0], "w2", BAD[0]])
+    a, b = (r["_tox"]["score"] for r in toxicity.score_documents(docs_of(spark, [clean, bad]), model).orderBy("doc_id").collect())
+    assert a < 0.5 < b and b - a > 0.3
+
+
+def test_sample_of_a_repeated_id_is_the_same_in_every_order(spark):
+    _, _, docs, labels = tables(spark, 200)
+    twice = docs.unionByName(docs.withColumn("text", F.reverse("text")))
+    assert toxicity.train(twice, labels) == toxicity.train(twice.orderBy(F.desc("text")).repartition(5), labels)
+
+
 def test_toxicity_edge_cases(spark, edge, empty):
     _, _, _, labels = tables(spark, 50)
     rows = toxicity.toxicity_report(edge, labels.unionAll(labels)).collect()
     assert len(rows) == len(EDGE_TEXTS) and all(0 <= r["score"] <= 1 for r in rows)
     assert toxicity.toxicity_report(empty, labels).count() == 0
     for none in (labels.where("false"), labels.where("toxic = 1"), spark.createDataFrame([(None, 1), (3, None)], "doc_id long, toxic int")):
-        out = toxicity.drop_toxic(edge, none)
+        out = toxicity.drop_toxic(edge.withColumn("a.b", F.lit(1)), none).drop("a.b")
         assert out.columns == edge.columns and out.count() == len(EDGE_TEXTS)
 
 
@@ -126,23 +182,48 @@ def poisson(u, rate):
     return k
 
 
+def key_of(r, n=0):
+    parts = [str(r.doc_id), r.text, "\x00" if r.lang is None else r.lang, r.source, str(r.n_chars)]
+    return hashlib.md5("\x1f".join(parts).encode()).hexdigest() + f"|{n}"
+
+
 def test_copies_are_the_inverse_of_the_distribution(spark):
     df = docs_of(spark, ["t"] * 400).withColumn("source", F.when(F.col("doc_id") < 300, "big").when(F.col("doc_id") < 399, "mid").otherwise("rare"))
     rows = mixing.mix_sources(df).collect()
     got = {}
     for r in rows:
         got[r["doc_id"]] = got.get(r["doc_id"], 0) + 1
-    n = {"big": 300, "mid": 99}
+    n, keys = {"big": 300, "mid": 99}, {r.doc_id: key_of(r) for r in df.collect()}
     for i in range(399):
         rate = 400 / 3 / n["big" if i < 300 else "mid"]
-        u = int(hashlib.md5(f"8|{i}|0".encode()).hexdigest()[:13], 16) / 2**52
+        u = int(hashlib.md5(f"8|{keys[i]}|0".encode()).hexdigest()[:13], 16) / 2**52
         assert got.get(i, 0) == poisson(u, rate)
     # a rate of 133 is drawn in five parts of at most 32
-    parts = [poisson(int(hashlib.md5(f"8|399|{k}".encode()).hexdigest()[:13], 16) / 2**52, 400 / 3 / 5) for k in range(5)]
+    parts = [poisson(int(hashlib.md5(f"8|{keys[399]}|{k}".encode()).hexdigest()[:13], 16) / 2**52, 400 / 3 / 5) for k in range(5)]
     assert got[399] == sum(parts) and abs(got[399] - 133) < 60
     assert len({(r["doc_id"], r["copy_no"]) for r in rows}) == len(rows)
 
 
+def test_rows_without_an_id_and_equal_rows_draw_for_themselves(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RUN", 7)
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(None, "same", "en", "a", 4)] * 1000 + [(None, f"t{i}", "en", "a", 2) for i in range(500)]
+    rows += [(5, "same", "en", "b", 4)] * 300 + [(6 + i, "same", "en", "c", 4) for i in range(1500)]
+    df = spark.createDataFrame(rows, schema)
+    out = mixing.mix_sources(df, {"a": 1.0, "b": 1.0, "c": 1.0}, total=1500).collect()
+    n = {s: sum(r.source == s for r in out) for s in "abc"}
+    assert all(abs(n[s] - 500) < 110 for s in "abc")
+    same = [r for r in out if r.source == "a" and r.text == "same"]
+    want = [poisson(int(hashlib.md5(f"8|{key_of_null(k)}|0".encode()).hexdigest()[:13], 16) / 2**52, 1 / 3) for k in range(1000)]
+    assert len(same) == sum(want) and len({r.shuffle_key for r in out}) == len(out)
+    again = mixing.mix_sources(df.repartition(5), {"a": 1.0, "b": 1.0, "c": 1.0}, total=1500).collect()
+    assert sorted(map(repr, out)) == sorted(map(repr, again))
+
+
+def key_of_null(n):
+    return hashlib.md5("\x1f".join(["\x00", "same", "en", "a", "4"]).encode()).hexdigest() + f"|{n}"
+
+
 def test_target_weights_and_order(spark):
     df = docs_of(spark, ["t"] * 3000).withColumn("source", F.when(F.col("doc_id") % 3 > 0, "a").otherwise("b"))
     out = mixing.mix_sources(df, {"a": 1.0, "b": 3.0, "absent": 5.0}, total=6000)
@@ -157,6 +238,6 @@ def test_mixing_edge_cases(spark, edge, empty):
     out = mixing.mix_sources(edge)
     assert out.columns == [c for c in edge.columns if c != "copy_no"] + ["copy_no", "shuffle_key"]
     assert {r["source"] for r in out.collect()} <= {r["source"] for r in edge.collect()}
-    twice = [r["copy_no"] for r in mixing.mix_sources(edge, total=300).where("doc_id = 6").collect()]
-    assert sorted(twice) == sorted([*set(twice)] * 2)  # repeated rows draw alike
+    dotted = docs_of(spark, ["x", None]).withColumn("a.b", F.array(F.lit(1))).withColumn("_key", F.lit("own"))
+    assert mixing.mix_sources(dotted, total=50).columns == [*dotted.columns, "copy_no", "shuffle_key"]
     assert mixing.mix_sources(empty).count() == 0

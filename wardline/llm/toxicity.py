@@ -3,8 +3,10 @@
 Only documents carry labels.  A sentence's probability is a logistic function
 of hashed features of its words (the folded word and its first four, five and
 six bytes), a document's is the noisy-or of its sentences,
-``1 - prod(1 - p)``, and the weights are fitted on document labels through
-that product, so the fitted model also tells which sentences offend.
+``1 - (1 - leak) * prod(1 - p)``, and the weights are fitted on document labels
+through that product, so the fitted model also tells which sentences offend.
+A sentence without a telling feature has probability 0, and the base rate is
+one leak per document: a text does not become toxic by its length.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import fresh, small_batches, stored, text_or_empty, worker_cache
+from wardline.llm.common import packed, small_batches, stored, text_or_empty, unpacked, worker_cache
 from wardline.llm.textops import FOLD, FOLDED_WORDS, find_words, hash_words, join_texts, slices
 
 #: weights by hashed feature: a table of fixed size, 16 MB
@@ -25,6 +27,9 @@ MAX_PER_CLASS = 3000
 #: toxic ones more often than in others by so many standard errors
 MIN_DOCS, MIN_Z = 3, 3.0
 STEPS, RATE, DECAY = 120, 0.15, 1e-5
+#: in a score, a sentence's probability p counts as p * p^2 / (p^2 + DOUBT^2):
+#: thousands of hardly suspicious sentences are no toxic one
+DOUBT = 0.1
 
 _IS_END = np.zeros(256, bool)
 _IS_END[[ord(c) for c in ".!?\n"]] = True
@@ -103,8 +108,8 @@ def telling_features(counts: DataFrame, n0: int, n1: int) -> np.ndarray:
 def bags(sample: DataFrame, used: np.ndarray) -> DataFrame:
     """``_y, _id, feats, sent, plain`` of each row: the places in ``used`` of
     its words' features, the sentence of each, and the number of sentences
-    without any.  The latter all have the same probability, so their number is
-    all that the fit needs, and a long text is small and yet whole."""
+    without any.  The latter have probability 0, so a long text is small and yet
+    whole."""
     sent_used = sample.sparkSession.sparkContext.broadcast(used)
 
     @F.arrow_udf("struct<feats:binary,sent:binary,plain:long>")
@@ -129,10 +134,28 @@ def bags(sample: DataFrame, used: np.ndarray) -> DataFrame:
     return small_batches(sample).select("_y", "_id", bag("_text").alias("_b")).select("_y", "_id", "_b.*")
 
 
-def fit(rows: pa.Table, labels: np.ndarray, weight: np.ndarray, n_used: int) -> tuple[np.ndarray, float]:
-    """Weights of the used features and the intercept: full-batch Adam on the
-    weighted log-loss of the noisy-or of each row of ``bags``."""
-    feats, sent, doc = [], [], []
+def loss_and_gradient(w: np.ndarray, feats: np.ndarray, sent: np.ndarray, doc: np.ndarray, labels: np.ndarray,
+                      weight: np.ndarray) -> tuple[float, np.ndarray]:
+    """Weighted log-loss of the noisy-or, and its gradient.
+
+    ``w``: the weight of each used feature, the intercept of a sentence and the
+    leak of a document, as a logit; ``feats`` and ``sent``: the features that
+    occur and their sentences; ``doc``: the document of each sentence."""
+    z = w[-2] + np.bincount(sent, weights=w[feats], minlength=len(doc))
+    total = np.maximum(np.bincount(doc, weights=softplus(z), minlength=len(labels)) + softplus(w[-1]), 1e-9)
+    part = np.where(labels == 1, -np.log(-np.expm1(-total)), total)
+    slope = weight * np.where(labels == 1, -1.0 / np.expm1(np.minimum(total, 50)), 1.0)
+    by_sent = slope[doc] / (1 + np.exp(-np.clip(z, -50, 50)))
+    leak = slope.sum() / (1 + np.exp(-np.clip(w[-1], -50, 50)))
+    g = np.concatenate([np.bincount(feats, weights=by_sent[sent], minlength=len(w) - 2), [by_sent.sum(), leak]])
+    g[:-2] += DECAY * w[:-2]
+    return float((weight * part).sum() + DECAY / 2 * (w[:-2] ** 2).sum()), g
+
+
+def fit(rows: pa.Table, labels: np.ndarray, weight: np.ndarray, n_used: int) -> tuple[np.ndarray, float, float]:
+    """Weights of the used features, the intercept and the leak: full-batch
+    Adam on the rows of ``bags``."""
+    feats, sent, doc = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
     n_sent = 0
     for i, (f, s) in enumerate(zip(rows.column("feats"), rows.column("sent"), strict=True)):
         s = np.frombuffer(s.as_py(), np.int32)
@@ -142,33 +165,26 @@ def fit(rows: pa.Table, labels: np.ndarray, weight: np.ndarray, n_used: int) ->
         doc.append(np.full(k, i, np.int32))
         n_sent += k
     feats, sent, doc = (np.concatenate(x) for x in (feats, sent, doc))
-    plain = rows.column("plain").to_numpy().astype(np.float64)
-    w = np.zeros(n_used + 1)  # the last is the intercept
-    w[-1] = -5.0
+    w = np.zeros(n_used + 2)
+    w[-2:] = -5.0
     m, v = np.zeros_like(w), np.zeros_like(w)
     weight = weight / weight.sum()
     for t in range(1, STEPS + 1):
-        z = w[-1] + np.bincount(sent, weights=w[feats], minlength=n_sent)
-        total = np.maximum(np.bincount(doc, weights=softplus(z), minlength=len(labels)) + plain * softplus(w[-1]), 1e-9)
-        slope = weight * np.where(labels == 1, -1.0 / np.expm1(np.minimum(total, 50)), 1.0)
-        by_sent = slope[doc] / (1 + np.exp(-np.clip(z, -50, 50)))
-        by_plain = (slope * plain).sum() / (1 + np.exp(-np.clip(w[-1], -50, 50)))
-        g = np.append(np.bincount(feats, weights=by_sent[sent], minlength=n_used), by_sent.sum() + by_plain)
-        g[:-1] += DECAY * w[:-1]
+        _, g = loss_and_gradient(w, feats, sent, doc, labels, weight)
         m += 0.1 * (g - m)
         v += 0.01 * (g * g - v)
         w -= RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
-    return w[:-1].astype(np.float32), float(w[-1])
+    return w[:-2].astype(np.float32), float(w[-2]), float(w[-1])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic") -> tuple[bytes, bytes, float]:
+          label_col: str = "toxic") -> tuple[bytes, bytes, float, float]:
     """Fit on at most ``MAX_PER_CLASS`` labelled rows of each class.
 
     Rows are taken in the order of a hash of the id, so the sample is the same
     in every run; a text's length plays no part, and all of its sentences count.
     A repeated label row counts once (the larger label), a null id or label not
-    at all.  Features are counted and bags made row by row in many tasks; one
+    at all; of several texts with one id the least one is read.  Features are counted and bags made row by row in many tasks; one
     task fits the bounded number of bags.
     """
     label = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
@@ -179,31 +195,31 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         top = label.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(MAX_PER_CLASS)
         picked = top if picked is None else picked.unionAll(top)
     texts = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
-    sample = stored(texts.join(F.broadcast(picked), "_id").dropDuplicates(["_id"]).select("_y", "_id", "_text"), "sample")
+    sample = stored(texts.join(F.broadcast(picked), "_id").groupBy("_y", "_id").agg(F.min("_text").alias("_text")), "sample")
     share = [counts.get(y, 0) / max(1, min(counts.get(y, 0), MAX_PER_CLASS)) for y in (0, 1)]
     have = {r["_y"]: r["count"] for r in sample.groupBy("_y").count().collect()}
     if len(have) < 2:
-        return b"", b"", -5.0
+        return b"", b"", -5.0, -5.0
     used = telling_features(count_features(sample), have[0], have[1])
 
     def run(batches):
         held = pa.Table.from_batches(list(batches)).sort_by([("_y", "ascending"), ("_id", "ascending")])  # the batches come in any order
         y = held.column("_y").to_numpy().astype(np.int64)
-        w, b0 = fit(held, y, np.array(share)[y], len(used))
-        yield pa.RecordBatch.from_pydict({"weight": [w.tobytes()], "base": [b0]})
+        w, b0, leak = fit(held, y, np.array(share)[y], len(used))
+        yield pa.RecordBatch.from_pydict({"weight": [w.tobytes()], "base": [b0], "leak": [leak]})
 
-    row = bags(sample, used).repartition(1).mapInArrow(run, "weight binary, base double").first()
-    return used.tobytes(), bytes(row["weight"]), row["base"]
+    row = bags(sample, used).repartition(1).mapInArrow(run, "weight binary, base double, leak double").first()
+    return used.tobytes(), bytes(row["weight"]), row["base"], row["leak"]
 
 
-def score_documents(docs: DataFrame, model: tuple[bytes, bytes, float], text_col: str = "text",
+def score_documents(docs: DataFrame, model: tuple[bytes, bytes, float, float], text_col: str = "text",
                     out: str = "_tox", sentence_limit: float = 0.5) -> DataFrame:
     """``docs`` with ``out``: the document's score and its offending sentences
     (start and end in code points, probability), those of ``sentence_limit`` or
     more.
 
-    A null or empty text scores like one sentence without words.  Rows are
-    scored alone; an empty table stays empty; an input column named ``out`` is
+    A text without a telling feature, also a null or empty one, scores the
+    leak.  Rows are scored alone; an empty table stays empty; an input column named ``out`` is
     replaced, all others are kept.
     """
     sent_model = docs.sparkSession.sparkContext.broadcast(model)
@@ -215,18 +231,20 @@ def score_documents(docs: DataFrame, model: tuple[bytes, bytes, float], text_col
     def score(texts: pa.Array) -> pa.Array:
         cache = worker_cache()
         if cache.get("tox_key") != key:
-            used, weight, base = sent_model.value
-            w = np.zeros(1 << BITS, np.float32)
+            used, weight, base, leak = sent_model.value
+            w, telling = np.zeros(1 << BITS, np.float32), np.zeros(1 << BITS, bool)
             w[np.frombuffer(used, np.int32)] = np.frombuffer(weight, np.float32)
-            cache["tox_key"], cache["tox"] = key, (w, base)
-        w, base = cache["tox"]
+            telling[np.frombuffer(used, np.int32)] = True
+            cache["tox_key"], cache["tox"] = key, (w, telling, base, leak)
+        w, telling, base, leak = cache["tox"]
         rows = []
         for _, part in slices(texts):
             feats, sent, doc, lo, hi = sentences(part)
             z = base + np.bincount(sent, weights=w[feats].sum(axis=1, dtype=np.float64), minlength=len(doc))
-            total = np.bincount(doc, weights=softplus(z), minlength=len(part))
-            scores = -np.expm1(-total)
-            p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+            tells = np.bincount(sent, weights=telling[feats].any(axis=1), minlength=len(doc)) > 0
+            p = np.where(tells, 1 / (1 + np.exp(-np.clip(z, -500, 500))), 0.0)
+            counted = np.minimum(p * p * p / (p * p + DOUBT * DOUBT), 1 - 1e-15)
+            scores = -np.expm1(-softplus(leak) + np.bincount(doc, weights=np.log1p(-counted), minlength=len(part)))
             found = [[] for _ in part]
             for i in np.flatnonzero(p >= sentence_limit):
                 d = doc[i]
@@ -244,7 +262,10 @@ def held_out(id_col: str = "doc_id"):
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Score of every row from a model fitted outside the held-out fifth."""
+    """Score of every row from a model fitted outside the held-out fifth.
+
+    A null text is empty, a null id is not held out, each row with a repeated
+    id is scored, an empty table gives an empty result; labels only train."""
     model = train(docs, labels.where(~held_out(id_col)), id_col)
     s = score_documents(docs.select(F.col(id_col), F.col("text")), model)
     return s.select(id_col, held_out(id_col).alias("held_out"), F.col("_tox.score").alias("score"),
@@ -254,7 +275,9 @@ def toxicity_report(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFrame:
-    """Rows of ``docs`` that score under ``limit``, unchanged."""
+    """Rows of ``docs`` that score under ``limit``, unchanged, whatever their
+    columns are called.  A null or empty text stays unless the leak is above
+    the limit; without labels of both classes every row stays."""
     model = train(docs, labels.where(~held_out()))
-    out = fresh(docs, "_tox")
-    return score_documents(docs, model, out=out).where(F.col(out)["score"] < limit).select(*docs.columns)
+    rows = packed(docs).withColumn("_text", F.col("_row")["text"])
+    return unpacked(score_documents(rows, model, "_text").where(F.col("_tox")["score"] < limit), docs.columns)
