@@ -3,6 +3,8 @@ import random
 
 import pytest
 from llm_samples import EDGE_TEXTS, docs_of, random_words
+from pyspark.sql import functions as F
+
 from wardline.llm import decontam, queries, tokens
 
 sentencepiece = pytest.importorskip("sentencepiece")
@@ -160,3 +162,19 @@ def test_decontaminate(spark, edge, empty):
     assert out.columns == edge.columns and out.count() == len(EDGE_TEXTS)
     assert decontam.decontaminate(empty, bench).count() == 0
     assert decontam.decontaminate(edge, bench.where("false")).count() == len(EDGE_TEXTS)
+
+
+@pytest.mark.parametrize("per_pass", [1, 2, 4])
+def test_number_of_passes_does_not_show(spark, monkeypatch, per_pass):
+    items = [(i, random_words(100 + i, 30, 1000)) for i in range(8)]
+    clean = random_words(2, 120, 1000)
+    texts = [" ".join(clean[:40] + items[k][1] + clean[40:80] + items[k + 4][1][:14] + clean[80:]) for k in range(4)]
+    texts += [" ".join(clean[:62] + items[0][1] + items[5][1]),  # 49 percent, half of it by each of two items
+              " ".join(items[1][1][:5] + items[2][1] + items[1][1][5:]), None, "", " ".join(clean)]
+    df = docs_of(spark, texts).withColumn("a.b", F.col("doc_id"))
+    want = [tuple(r) for r in decontam.decontaminate(df, bench_of(spark, items), max_coverage=0.45).orderBy("doc_id").collect()]
+    assert [r[0] for r in want] == [0, 1, 2, 3, 6, 7, 8]
+    monkeypatch.setattr(decontam, "BLOCK_WORDS", 40)
+    monkeypatch.setattr(decontam, "BLOCKS_PER_PASS", per_pass)
+    got = [tuple(r) for r in decontam.decontaminate(df, bench_of(spark, items), max_coverage=0.45).orderBy("doc_id").collect()]
+    assert got == want

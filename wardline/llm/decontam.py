@@ -10,6 +10,7 @@ shuffled.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections import defaultdict
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import fresh, sha, small_batches, text_or_empty, values
+from wardline.llm.common import packed, sha, small_batches, stored, text_or_empty, unpacked, values
 from wardline.llm.textops import FOLD_TABLE
 from wardline.session import cut_lineage
 
@@ -247,30 +248,74 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_c
     Spans of matches of ``window`` words or more (or of whole shorter items)
     are cut out of the text, together with the characters between their
     words; what is left is scanned again until no match is left.  A document
-    with more than ``max_coverage`` of its words covered is dropped.  Other
-    rows and columns stay as they are.
+    with more than ``max_coverage`` of its words covered at first, by all
+    items together, is dropped.  Other rows and columns stay as they are, also
+    null and empty texts and repeated rows; an empty benchmark or table changes
+    nothing.  However many passes a large benchmark takes, the result is that
+    of one pass.
     """
     spark = docs.sparkSession
     columns = docs.columns
-
-    def one_pass(df: DataFrame, autos: list[SuffixAutomaton]) -> DataFrame:
-        sent = spark.sparkContext.broadcast(autos)
-
-        @F.arrow_udf("struct<text:string,keep:boolean>")
-        def clean(texts: pa.Array) -> pa.Array:
-            return pa.array([cut(t, sent.value, max_coverage) for t in values(texts)],
-                            pa.struct([("text", pa.string()), ("keep", pa.bool_())]))
-
-        done = fresh(df, "_cut")
-        return (small_batches(df).withColumn(done, clean(F.col(text_col).cast("string"))).where(F.col(done)["keep"])
-                .withColumn(text_col, F.col(done)["text"]).select(*columns))
-
-    autos: list[SuffixAutomaton] = []
-    for items in item_blocks(benchmark, window, BLOCK_WORDS, "item_id", "text"):
-        if len(autos) == BLOCKS_PER_PASS:
-            docs, autos = cut_lineage(one_pass(docs, autos)), []
-        autos.append(SuffixAutomaton(items, window))
-    return one_pass(docs, autos) if autos else docs
+    blocks = item_blocks(benchmark, window, BLOCK_WORDS, "item_id", "text")
+    autos = [SuffixAutomaton(items, window) for items in itertools.islice(blocks, BLOCKS_PER_PASS)]
+    rows = packed(docs).withColumn("_text", F.col("_row")[text_col].cast("string"))
+    if next(blocks, None) is not None:
+        del autos
+        return unpacked(cut_in_passes(rows, benchmark, window, max_coverage), columns, **{text_col: F.col("_text")})
+    if not autos:
+        return docs
+    sent = spark.sparkContext.broadcast(autos)
+
+    @F.arrow_udf("struct<text:string,keep:boolean>")
+    def clean(texts: pa.Array) -> pa.Array:
+        return pa.array([cut(t, sent.value, max_coverage) for t in values(texts)],
+                        pa.struct([("text", pa.string()), ("keep", pa.bool_())]))
+
+    done = small_batches(rows).withColumn("_cut", clean("_text")).where(F.col("_cut")["keep"])
+    return unpacked(done, columns, **{text_col: F.col("_cut")["text"]})
+
+
+def cut_in_passes(rows: DataFrame, benchmark: DataFrame, window: int, max_coverage: float) -> DataFrame:
+    """``rows`` (``_row, _text``) cut like by one pass: every round collects the
+    spans of all blocks, then cuts; rows that were cut go into the next round."""
+
+    @F.arrow_udf("string")
+    def without(texts: pa.Array, scans: pa.Array) -> pa.Array:
+        out = []
+        for t, s in zip(values(texts), values(scans), strict=True):
+            raw = t.encode("utf-8", "surrogatepass")
+            folded = raw.translate(FOLD_TABLE)
+            out.append(outside(raw, folded, folded.split(), s["starts"], s["ends"]).decode("utf-8", "surrogatepass"))
+        return pa.array(out, pa.string())
+
+    finished, first = None, True
+    while True:
+        scanned = stored(scan_documents(rows, benchmark, window, "_text"), "scanned")
+        hit = F.size("_scan.starts") > 0
+        clean = scanned.where(~hit).select("_row", "_text")
+        finished = clean if finished is None else finished.unionByName(clean)
+        found = scanned.where(hit)
+        if first:
+            covered = F.aggregate(F.zip_with("_scan.starts", "_scan.ends", lambda a, b: b - a), F.lit(0), lambda x, y: x + y)
+            found = found.where(covered <= F.lit(max_coverage) * F.col("_scan.n_words"))
+            first = False
+        rows = stored(small_batches(found).select("_row", without("_text", "_scan").alias("_text")), "cut")
+        if rows.isEmpty():
+            return finished
+
+
+def outside(raw: bytes, folded: bytes, words: list[bytes], starts: list[int], ends: list[int]) -> bytes:
+    """The text without the word intervals."""
+    places, at = [], 0
+    for w in words:
+        at = folded.index(w, at)
+        places.append((at, at + len(w)))
+        at += len(w)
+    kept, at = [], 0
+    for a, b in zip(starts, ends, strict=True):
+        kept.append(raw[at : places[a][0]])
+        at = places[b - 1][1]
+    return b"".join([*kept, raw[at:]])
 
 
 def cut(text: str | None, autos: list[SuffixAutomaton], max_coverage: float) -> dict:
@@ -288,14 +333,5 @@ def cut(text: str | None, autos: list[SuffixAutomaton], max_coverage: float) ->
         if first and sum(ends) - sum(starts) > max_coverage * len(words):
             return {"text": text, "keep": False}
         first = False
-        places, at = [], 0
-        for w in words:
-            at = folded.index(w, at)
-            places.append((at, at + len(w)))
-            at += len(w)
-        kept, at = [], 0
-        for a, b in zip(starts, ends, strict=True):
-            kept.append(raw[at : places[a][0]])
-            at = places[b - 1][1]
-        raw = b"".join([*kept, raw[at:]])
+        raw = outside(raw, folded, words, starts, ends)
     return {"text": text if first else raw.decode("utf-8", "surrogatepass"), "keep": True}
