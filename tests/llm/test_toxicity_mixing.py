@@ -92,21 +92,23 @@ def test_loss_and_gradient_like_plain():
     rng = np.random.default_rng(1)
     doc = np.array([0, 0, 1, 3, 3, 3])  # document 2 has no telling sentence
     sent, feats = np.array([0, 0, 1, 2, 3, 4, 5, 5]), np.array([0, 2, 1, 1, 3, 0, 2, 2])
-    labels, weight, w = np.array([1, 0, 0, 1]), np.array([0.1, 0.4, 0.3, 0.2]), rng.normal(size=6)
+    labels, weight, w = np.array([1, 0, 0, 1]), np.array([0.1, 0.4, 0.3, 0.2]), rng.normal(size=7)
+    w[-2:] = -5.0, 1.0
+    size = np.log1p([3, 2, 1, 40])  # the last one's leak is at the cap
 
     def plain(w):
         loss = 0.0
         for d in range(4):
-            clean = 1 - 1 / (1 + math.exp(-w[-1]))
+            clean = 1 - 1 / (1 + math.exp(-min(w[-2] + w[-1] * size[d], toxicity.MOST_LEAK)))
             for s in np.flatnonzero(doc == d):
-                clean *= 1 - 1 / (1 + math.exp(-w[-2] - sum(w[f] for f, at in zip(feats, sent, strict=True) if at == s)))
+                clean *= 1 - 1 / (1 + math.exp(-w[-3] - sum(w[f] for f, at in zip(feats, sent, strict=True) if at == s)))
             loss -= weight[d] * math.log(1 - clean if labels[d] else clean)
-        return loss + toxicity.DECAY / 2 * float(w[:-2] @ w[:-2])
+        return loss + toxicity.DECAY / 2 * float(w[:-3] @ w[:-3])
 
-    loss, g = toxicity.loss_and_gradient(w, feats, sent, doc, labels, weight)
+    loss, g = toxicity.loss_and_gradient(w, feats, sent, doc, size, labels, weight)
     assert math.isclose(loss, plain(w))
-    for k in range(6):
-        step = np.eye(6)[k] * 1e-6
+    for k in range(7):
+        step = np.eye(7)[k] * 1e-6
         assert math.isclose(g[k], (plain(w + step) - plain(w - step)) / 2e-6, rel_tol=1e-5, abs_tol=1e-9)
 
 
@@ -115,12 +117,13 @@ def test_scores_like_plain(spark):
     number = {x: [int(f) for f in toxicity.sentences([x.encode()])[0][0]] for x in words}
     used = sorted({f for x in ("vile", "grim") for f in number[x]})
     weight = {f: 0.4 + 0.1 * i for i, f in enumerate(used)}
-    model = (np.array(used, np.int32).tobytes(), np.array([weight[f] for f in used], np.float32).tobytes(), -2.5, -4.0)
+    model = (np.array(used, np.int32).tobytes(), np.array([weight[f] for f in used], np.float32).tobytes(), -2.5, -4.0, 0.3)
     texts = ["vile plain. other other! grim", "plain. other", "", None, "Vile VILE vile\nplain", "grim other. " * 400, "plain. " * 100_000]
     rows = toxicity.score_documents(docs_of(spark, texts), model).orderBy("doc_id").collect()
     for text, r in zip(texts, rows, strict=True):
-        clean = 1 - 1 / (1 + math.exp(4.0))
-        for s in (text or "").replace("!", ".").replace("\n", ".").split("."):
+        sents = [s for s in (text or "").replace("!", ".").replace("\n", ".").split(".") if s.strip()]
+        clean = 1 - 1 / (1 + math.exp(-min(-4.0 + 0.3 * math.log(1 + max(len(sents), 1)), toxicity.MOST_LEAK)))
+        for s in sents:
             own = [f for x in s.lower().split() for f in number[x] if f in weight]
             if own:
                 p = 1 / (1 + math.exp(2.5 - sum(float(np.float32(weight[f])) for f in own)))

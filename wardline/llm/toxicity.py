@@ -6,7 +6,8 @@ six bytes), a document's is the noisy-or of its sentences,
 ``1 - (1 - leak) * prod(1 - p)``, and the weights are fitted on document labels
 through that product, so the fitted model also tells which sentences offend.
 A sentence without a telling feature has probability 0, and the base rate is
-one leak per document: a text does not become toxic by its length.
+one leak per document.  It follows the logarithm of the number of sentences up
+to a cap far below one half: a text does not become toxic by its length.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ STEPS, RATE, DECAY = 120, 0.15, 1e-5
 #: in a score, a sentence's probability p counts as p * p^2 / (p^2 + DOUBT^2):
 #: thousands of hardly suspicious sentences are no toxic one
 DOUBT = 0.1
+#: highest logit of a document's leak: one in ten
+MOST_LEAK = -2.2
 
 _IS_END = np.zeros(256, bool)
 _IS_END[[ord(c) for c in ".!?\n"]] = True
@@ -134,29 +137,31 @@ def bags(sample: DataFrame, used: np.ndarray) -> DataFrame:
     return small_batches(sample).select("_y", "_id", bag("_text").alias("_b")).select("_y", "_id", "_b.*")
 
 
-def loss_and_gradient(w: np.ndarray, feats: np.ndarray, sent: np.ndarray, doc: np.ndarray, labels: np.ndarray,
+def loss_and_gradient(w: np.ndarray, feats: np.ndarray, sent: np.ndarray, doc: np.ndarray, size: np.ndarray, labels: np.ndarray,
                       weight: np.ndarray) -> tuple[float, np.ndarray]:
     """Weighted log-loss of the noisy-or, and its gradient.
 
-    ``w``: the weight of each used feature, the intercept of a sentence and the
-    leak of a document, as a logit; ``feats`` and ``sent``: the features that
-    occur and their sentences; ``doc``: the document of each sentence."""
-    z = w[-2] + np.bincount(sent, weights=w[feats], minlength=len(doc))
-    total = np.maximum(np.bincount(doc, weights=softplus(z), minlength=len(labels)) + softplus(w[-1]), 1e-9)
+    ``w``: the weight of each used feature, the intercept of a sentence, the
+    leak of a document as a logit and its slope by ``size``, the logarithm of
+    one plus the sentences; ``feats`` and ``sent``: the features that occur and
+    their sentences; ``doc``: the document of each such sentence."""
+    z = w[-3] + np.bincount(sent, weights=w[feats], minlength=len(doc))
+    leak = w[-2] + w[-1] * size
+    total = np.maximum(np.bincount(doc, weights=softplus(z), minlength=len(labels)) + softplus(np.minimum(leak, MOST_LEAK)), 1e-9)
     part = np.where(labels == 1, -np.log(-np.expm1(-total)), total)
     slope = weight * np.where(labels == 1, -1.0 / np.expm1(np.minimum(total, 50)), 1.0)
     by_sent = slope[doc] / (1 + np.exp(-np.clip(z, -50, 50)))
-    leak = slope.sum() / (1 + np.exp(-np.clip(w[-1], -50, 50)))
-    g = np.concatenate([np.bincount(feats, weights=by_sent[sent], minlength=len(w) - 2), [by_sent.sum(), leak]])
-    g[:-2] += DECAY * w[:-2]
-    return float((weight * part).sum() + DECAY / 2 * (w[:-2] ** 2).sum()), g
+    by_doc = np.where(leak < MOST_LEAK, slope / (1 + np.exp(-np.clip(leak, -50, 50))), 0.0)
+    g = np.concatenate([np.bincount(feats, weights=by_sent[sent], minlength=len(w) - 3), [by_sent.sum(), by_doc.sum(), by_doc @ size]])
+    g[:-3] += DECAY * w[:-3]
+    return float((weight * part).sum() + DECAY / 2 * (w[:-3] ** 2).sum()), g
 
 
-def fit(rows: pa.Table, labels: np.ndarray, weight: np.ndarray, n_used: int) -> tuple[np.ndarray, float, float]:
-    """Weights of the used features, the intercept and the leak: full-batch
-    Adam on the rows of ``bags``."""
+def fit(rows: pa.Table, labels: np.ndarray, weight: np.ndarray, n_used: int) -> tuple[np.ndarray, float, list[float]]:
+    """Weights of the used features, the intercept, the leak and its slope:
+    full-batch Adam on the rows of ``bags``."""
     feats, sent, doc = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
-    n_sent = 0
+    n_sent, size = 0, rows.column("plain").to_numpy().astype(np.float64)
     for i, (f, s) in enumerate(zip(rows.column("feats"), rows.column("sent"), strict=True)):
         s = np.frombuffer(s.as_py(), np.int32)
         feats.append(np.frombuffer(f.as_py(), np.int32))
@@ -164,21 +169,23 @@ def fit(rows: pa.Table, labels: np.ndarray, weight: np.ndarray, n_used: int) ->
         k = int(s[-1]) + 1 if len(s) else 0
         doc.append(np.full(k, i, np.int32))
         n_sent += k
+        size[i] += k
     feats, sent, doc = (np.concatenate(x) for x in (feats, sent, doc))
-    w = np.zeros(n_used + 2)
-    w[-2:] = -5.0
+    size = np.log1p(size)
+    w = np.zeros(n_used + 3)
+    w[-3:-1] = -5.0
     m, v = np.zeros_like(w), np.zeros_like(w)
     weight = weight / weight.sum()
     for t in range(1, STEPS + 1):
-        _, g = loss_and_gradient(w, feats, sent, doc, labels, weight)
+        _, g = loss_and_gradient(w, feats, sent, doc, size, labels, weight)
         m += 0.1 * (g - m)
         v += 0.01 * (g * g - v)
         w -= RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
-    return w[:-2].astype(np.float32), float(w[-2]), float(w[-1])
+    return w[:-3].astype(np.float32), float(w[-3]), [float(w[-2]), float(w[-1])]
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic") -> tuple[bytes, bytes, float, float]:
+          label_col: str = "toxic") -> tuple[bytes, bytes, float, float, float]:
     """Fit on at most ``MAX_PER_CLASS`` labelled rows of each class.
 
     Rows are taken in the order of a hash of the id, so the sample is the same
@@ -199,7 +206,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     share = [counts.get(y, 0) / max(1, min(counts.get(y, 0), MAX_PER_CLASS)) for y in (0, 1)]
     have = {r["_y"]: r["count"] for r in sample.groupBy("_y").count().collect()}
     if len(have) < 2:
-        return b"", b"", -5.0, -5.0
+        return b"", b"", -5.0, -5.0, 0.0
     used = telling_features(count_features(sample), have[0], have[1])
 
     def run(batches):
@@ -208,11 +215,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         w, b0, leak = fit(held, y, np.array(share)[y], len(used))
         yield pa.RecordBatch.from_pydict({"weight": [w.tobytes()], "base": [b0], "leak": [leak]})
 
-    row = bags(sample, used).repartition(1).mapInArrow(run, "weight binary, base double, leak double").first()
-    return used.tobytes(), bytes(row["weight"]), row["base"], row["leak"]
+    row = bags(sample, used).repartition(1).mapInArrow(run, "weight binary, base double, leak array<double>").first()
+    return used.tobytes(), bytes(row["weight"]), row["base"], *row["leak"]
 
 
-def score_documents(docs: DataFrame, model: tuple[bytes, bytes, float, float], text_col: str = "text",
+def score_documents(docs: DataFrame, model: tuple[bytes, bytes, float, float, float], text_col: str = "text",
                     out: str = "_tox", sentence_limit: float = 0.5) -> DataFrame:
     """``docs`` with ``out``: the document's score and its offending sentences
     (start and end in code points, probability), those of ``sentence_limit`` or
@@ -231,7 +238,7 @@ def score_documents(docs: DataFrame, model: tuple[bytes, bytes, float, float], t
     def score(texts: pa.Array) -> pa.Array:
         cache = worker_cache()
         if cache.get("tox_key") != key:
-            used, weight, base, leak = sent_model.value
+            used, weight, base, *leak = sent_model.value
             w, telling = np.zeros(1 << BITS, np.float32), np.zeros(1 << BITS, bool)
             w[np.frombuffer(used, np.int32)] = np.frombuffer(weight, np.float32)
             telling[np.frombuffer(used, np.int32)] = True
@@ -244,7 +251,8 @@ def score_documents(docs: DataFrame, model: tuple[bytes, bytes, float, float], t
             tells = np.bincount(sent, weights=telling[feats].any(axis=1), minlength=len(doc)) > 0
             p = np.where(tells, 1 / (1 + np.exp(-np.clip(z, -500, 500))), 0.0)
             counted = np.minimum(p * p * p / (p * p + DOUBT * DOUBT), 1 - 1e-15)
-            scores = -np.expm1(-softplus(leak) + np.bincount(doc, weights=np.log1p(-counted), minlength=len(part)))
+            size = np.log1p(np.bincount(doc, minlength=len(part)))
+            scores = -np.expm1(-softplus(np.minimum(leak[0] + leak[1] * size, MOST_LEAK)) + np.bincount(doc, weights=np.log1p(-counted), minlength=len(part)))
             found = [[] for _ in part]
             for i in np.flatnonzero(p >= sentence_limit):
                 d = doc[i]
