@@ -99,10 +99,13 @@ def segment_permutation(x, key: Column, segment_len: int = SEGMENT_LEN, seed: in
 
 
 def grid_views(df: DataFrame, x_col: str = "x", id_col: str = "RecordID", seed: int = 0,
-               noise_std: float = GRID_NOISE_STD, mask_ratio: float = GRID_TIME_MASK_RATIO) -> DataFrame:
-    """Two independent views per entity: noise then time masking."""
+               noise_std: float = GRID_NOISE_STD, mask_ratio: float = GRID_TIME_MASK_RATIO, augment=None) -> DataFrame:
+    """Two independent views per entity: noise then time masking, or
+    what ``augment(x, key)`` makes of the grid; the key differs by view."""
     v = df.select(F.col(id_col), F.col(x_col), F.explode(F.array(F.lit(1), F.lit(2))).alias("view"))
     key = view_key(id_col)
+    if augment is not None:
+        return v.select(id_col, "view", augment(F.col(x_col), key).alias(x_col))
     # the block is a column of its own, so that it is drawn once a view, not once a time step
     v = v.withColumn("_block", mask_block(F.size(x_col), key, mask_ratio, seed))
     v = v.withColumn("_noisy", gaussian_noise(x_col, key, noise_std, seed))

@@ -2,46 +2,49 @@
 
 ROC-AUC and average precision need running sums of positives/negatives over
 the score order.  Scores are first reduced to distinct values (one row per
-distinct score, map-side combined), then scanned in ``n_buckets`` score
-ranges: each range gets its running sums from a window inside the range, and
-an offset from the totals of the ranges before it (one row per range).  No
+distinct score, map-side combined), then scanned in score ranges: each range
+gets its running sums from a window inside the range, and an offset from the totals of the ranges before it (one row per range).  No
 task ever holds more than one range, and ties are whole rows, so heavy
 score ties cost nothing.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wardline.operators.common import attach_row
+from wardline.session import cut_lineage
 
 
-def _bucket_bounds(df: DataFrame, key: str, n_buckets: int) -> list:
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.agg(F.percentile_approx(key, probs, 10_000).alias("b")).first()
-    return sorted(set(row["b"] or []))
+#: distinct keys of one range of a running sum, and ranges at most
+RANGE_ROWS, MOST_RANGES = 100_000, 20_000
 
 
 def running_sums(df: DataFrame, key: str, cols, descending: bool = False,
-                 n_buckets: int = 64, suffix: str = "_cum") -> DataFrame:
+                 n_buckets: int | None = None, suffix: str = "_cum") -> DataFrame:
     """Inclusive running sums of ``cols`` in ``key`` order (ascending or
-    descending), computed range by range.  ``df`` must hold one row per key."""
-    bounds = _bucket_bounds(df, key, n_buckets)
-    b_arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
-    k = F.col(key).cast("double")
-    bucket = F.size(F.filter(b_arr, lambda b: b < k))
-    if descending:
-        bucket = F.lit(len(bounds)) - bucket
-    d = df.withColumn("_bk", bucket)
+    descending), computed range by range.  ``df`` must hold one row per key.
+
+    The rows are dealt to ranges of the key once and stored with the number of
+    their range; the number of ranges follows the number of keys, so a range
+    stays small at any size.  Offsets come from one row per range."""
+    df = cut_lineage(df)
+    n = n_buckets or min(max(math.ceil(df.count() / RANGE_ROWS), 1), MOST_RANGES)
     order = F.col(key).desc() if descending else F.col(key).asc()
+    d = df if n == 1 else df.repartitionByRange(n, order)
+    d = d.withColumn("_bk", F.lit(0) if n == 1 else F.spark_partition_id())
+    if n > 1:
+        d = cut_lineage(d)  # the ranges are drawn from a sample: keep them
     w_in = Window.partitionBy("_bk").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = d.groupBy("_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
-    w_off = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    w_off = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
     offsets = totals.select("_bk", *[F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}")
                                      for c in cols])
-    out = d.join(F.broadcast(offsets), "_bk")  # one row per range: bounded by n_buckets
+    out = d.join(F.broadcast(offsets), "_bk")  # MOST_RANGES rows at most
     for c in cols:
         out = out.withColumn(f"{c}{suffix}", F.col(f"_o_{c}") + F.sum(c).over(w_in))
     return out.drop("_bk", *[f"_o_{c}" for c in cols])
@@ -56,20 +59,22 @@ def score_table(df: DataFrame, score_col: str = "score", label_col: str = "label
 
 
 def auroc_ap(df: DataFrame, score_col: str = "score", label_col: str = "label",
-             n_buckets: int = 64) -> DataFrame:
+             n_buckets: int | None = None) -> DataFrame:
     """M12 + M13: exact ROC-AUC (ties count one half) and step-wise average
     precision ``sum(dR * P)`` over thresholds at the distinct scores (higher
-    score = more positive).  One row ``(n_pos, n_neg, auroc, average_precision)``."""
-    st = score_table(df, score_col, label_col)
-    # ascending: negatives strictly below each score
-    asc = running_sums(st, "score", ["neg"], descending=False, n_buckets=n_buckets)
-    auc_part = (asc.select(F.sum(F.col("pos") * (F.col("neg_cum") - F.col("neg"))
-                                 + 0.5 * F.col("pos") * F.col("neg")).alias("_u"),
-                           F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg")))
-    desc = running_sums(st, "score", ["pos", "neg"], descending=True, n_buckets=n_buckets)
-    ap_part = desc.select(F.sum(F.col("pos") * F.col("pos_cum") / (F.col("pos_cum") + F.col("neg_cum")))
-                          .alias("_ap"))
-    return attach_row(auc_part, ap_part).select(
+    score = more positive).  One row ``(n_pos, n_neg, auroc, average_precision)``.
+
+    One ascending scan serves both: what lies at a score or above it is the
+    total less what lies below it, and the totals are sums of the same rows."""
+    asc = running_sums(score_table(df, score_col, label_col), "score", ["pos", "neg"], n_buckets=n_buckets)
+    whole = asc.agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+    below_pos, below_neg = F.col("pos_cum") - F.col("pos"), F.col("neg_cum") - F.col("neg")
+    at_least_pos, at_least_neg = F.col("n_pos") - below_pos, F.col("n_neg") - below_neg
+    rows = attach_row(asc, whole)
+    return rows.agg(
+        F.max("n_pos").alias("n_pos"), F.max("n_neg").alias("n_neg"),
+        F.sum(F.col("pos") * below_neg + 0.5 * F.col("pos") * F.col("neg")).alias("_u"),
+        F.sum(F.col("pos") * at_least_pos / (at_least_pos + at_least_neg)).alias("_ap")).select(
         "n_pos", "n_neg",
         (F.col("_u") / (F.col("n_pos") * F.col("n_neg"))).alias("auroc"),
         (F.col("_ap") / F.col("n_pos")).alias("average_precision"))
@@ -115,7 +120,7 @@ def threshold(p, cut: float = 0.5):
 
 
 def classification_report(df: DataFrame, logit_col: str = "logit", label_col: str = "label",
-                          pos_weight: float | None = None, n_buckets: int = 64) -> DataFrame:
+                          pos_weight: float | None = None, n_buckets: int | None = None) -> DataFrame:
     """M11-M15 together: loss (mean BCE on logits), accuracy of ``sigmoid > 0.5``,
     ROC-AUC and AP of the probability, and the confusion cells.  One row."""
     x = F.col(logit_col).cast("double")

@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 from wardline.functions.timefmt import hhmm_to_minutes
 from wardline.operators.common import broadcast_if_bounded
 from wardline.operators.quality import apply_long_rules
+from wardline.session import cut_lineage
 from wardline.vocab import ICU, ICU_MAX_SEQ_LEN, ICU_PAD_INDEX, Vocabulary
 
 PAD_VALUE = -999.0
@@ -94,6 +95,33 @@ def pack_triplets(df: DataFrame, id_col: str = "RecordID", time_col: str = "Time
                                                                         x["v"].alias("v"))).alias("triplets"))
 
 
+def pack_chunks(df: DataFrame, id_col: str = "RecordID", time_col: str = "Time", param_col: str = "Parameter", z_col: str = "z",
+                value_col: str = "Value", chunk: int = 512, order_time_col: str | None = None, n_ranges: int | None = None) -> DataFrame:
+    """A6 uncut: all triplets of every entity in (time, parameter) order, as
+    ``(id, chunk, triplets)`` with at most ``chunk`` triplets a row; chunks
+    count from 0, and their arrays joined are the whole sequence.
+
+    A row's place in its entity is its place in a range of the sorted rows
+    plus the entity's rows in the ranges before, so an entity of any size is
+    spread over many tasks and no array holds more than ``chunk`` triplets.
+    """
+    order = [id_col, order_time_col or time_col, param_col]
+    n = n_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = cut_lineage(df.repartitionByRange(n, *order).withColumn("_r", F.spark_partition_id()))  # keep the sampled ranges
+    sizes = dealt.groupBy(id_col, "_r").agg(F.count("*").alias("_n"))  # one row per entity and range
+    before = Window.partitionBy(id_col).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(F.col(id_col).alias("_id"), F.col("_r").alias("_or"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = Window.partitionBy(id_col, "_r").orderBy(*order[1:])
+    placed = dealt.withColumn("_rn", F.row_number().over(within))
+    placed = (placed.join(offsets, placed[id_col].eqNullSafe(offsets["_id"]) & (placed["_r"] == offsets["_or"]))
+              .withColumn("_rn", F.col("_rn") + F.col("_before") - 1))
+    return (placed.groupBy(id_col, F.floor(F.col("_rn") / chunk).cast("long").alias("chunk"))
+            .agg(F.array_sort(F.collect_list(F.struct(
+                F.col("_rn"), F.col(time_col).cast("double").alias("t"), F.col(z_col).cast("int").alias("z"),
+                F.col(value_col).cast("double").alias("v")))).alias("_s"))
+            .select(id_col, "chunk", F.transform("_s", lambda x: F.struct(x["t"].alias("t"), x["z"].alias("z"), x["v"].alias("v"))).alias("triplets")))
+
+
 def split_triplets(df: DataFrame, col: str = "triplets") -> DataFrame:
     """Y2: array of triplets -> three arrays t, z, v."""
     return (df.withColumn("t", F.transform(col, lambda x: x["t"]))

@@ -190,6 +190,13 @@ def q_grid_filled(spark, sf_dir):
     return rounded(ffill_and_fill(grid, grid, V.grid_vars))
 
 
+@register("grid_mean_filled", SQL_FILLED_GRID.replace("median(", "avg("))
+def q_grid_mean_filled(spark, sf_dir):
+    """W1 + A10: forward fill per entity, then the mean of the un-filled grid."""
+    grid = events_grid_table(spark, sf_dir)
+    return rounded(ffill_and_fill(grid, grid, V.grid_vars, how="mean"))
+
+
 @register("entity_stat_features", SQL_STAT_FEATURES)
 def q_entity_stat_features(spark, sf_dir):
     """A8 + A9 (+ P15): per-entity mean/std/max/min/skew, median filled."""

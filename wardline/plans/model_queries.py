@@ -10,7 +10,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from wardline.functions.randomness import sql_normal, sql_uniform
+from wardline.functions.randomness import hash_uniform, sql_normal, sql_uniform
 from wardline.operators.augment import (
     GRID_NOISE_STD, GRID_TIME_MASK_RATIO, TRIPLET_DROPOUT, TRIPLET_JITTER_STD, TRIPLET_TIME_SHIFT, add_positional_encoding, feature_masking, grid_views, info_nce, mean_over_time, segment_permutation,
     time_encoding, triplet_views,
@@ -165,6 +165,23 @@ def q_grid_views(spark, sf_dir):
     return rounded(grid_views(_grid_tensor(spark, sf_dir), seed=SEED))
 
 
+_SQL_CALLER_VIEWS = _SQL_TENSOR + f""",
+  v AS (SELECT RecordID, view, x, {sql_uniform(SEED, _VIEW_KEY, "41")} AS u FROM tensor, (SELECT unnest([1, 2]) AS view))
+SELECT RecordID, view, list_transform(CASE WHEN u < 0.5 THEN list_reverse(x) ELSE x END,
+       lambda row: list_transform(row, lambda c: round(c * (1 + u), 6) + 0.0)) AS x FROM v"""
+
+
+@register("grid_caller_views", _SQL_CALLER_VIEWS)
+def q_grid_caller_views(spark, sf_dir):
+    """Views by a caller's function: the grid, in one half of the views
+    backwards, times a factor drawn by the view."""
+    def turned(x, key):
+        u = hash_uniform(SEED, key, F.lit(41))
+        way = F.when(u < 0.5, F.reverse(x)).otherwise(x)
+        return F.transform(way, lambda row: F.transform(row, lambda c: c * (u + 1)))
+    return rounded(grid_views(_grid_tensor(spark, sf_dir), augment=turned))
+
+
 @register("grid_masks", _SQL_MASKS)
 def q_grid_masks(spark, sf_dir):
     """Y6 + Y7: feature masking and segment permutation of each grid."""

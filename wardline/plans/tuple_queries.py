@@ -13,7 +13,7 @@ from wardline.operators.scale import (
 )
 from wardline.operators.features import stat_features
 from wardline.operators.tuples import (
-    apply_modality_map, event_tuples, fit_modality_map, pack_grid, pack_triplets, pad_sequences,
+    apply_modality_map, event_tuples, fit_modality_map, pack_grid, pack_chunks, pack_triplets, pad_sequences,
     sequence_lengths, split_triplets,
 )
 from wardline.plans.grid_queries import (
@@ -116,6 +116,20 @@ def packed_triplets(spark, sf_dir):
     return pack_triplets(indexed, order_time_col="tm", max_len=ICU_MAX_SEQ_LEN)
 
 
+CHUNK = 16
+
+
+@register("tuple_chunks", f"""WITH {SQL_TUPLES_CTE},
+  ranked AS (SELECT RecordID, Time, Parameter, Value, row_number() OVER (PARTITION BY RecordID ORDER BY Time, Parameter) - 1 AS rn FROM tuples)
+SELECT RecordID, rn // {CHUNK} AS chunk, list({{'t': CAST(Time AS DOUBLE), 'z': CAST(length(Parameter) AS INT), 'v': {r("Value")}}} ORDER BY rn) AS triplets
+FROM ranked GROUP BY RecordID, rn // {CHUNK}""")
+def q_tuple_chunks(spark, sf_dir):
+    """A6 uncut: every tuple of every entity, in rows of at most 16 (the index
+    is the length of the parameter's name here)."""
+    tup = events_tuples_df(spark, sf_dir).withColumn("z", F.length("Parameter"))
+    return rounded(pack_chunks(tup, chunk=CHUNK))
+
+
 _P = [50, 75, 90, 95, 98, 99, 99.5, 99.9]
 
 
