@@ -106,22 +106,30 @@ def probably_in(rows: DataFrame, keys: DataFrame) -> DataFrame:
             .where(F.getbit("_bits", within) == 1).drop("_at", "_word", "_bits"))
 
 
-def kept_terms(counted: DataFrame, least_docs: int) -> DataFrame:
-    """``lang, digest, sub, term``: the terms in ``least_docs`` documents of
-    their language or more.  ``sub`` is 0, or from 1 where terms share a digest."""
+def kept_terms(counted: DataFrame, least_docs: int) -> tuple[DataFrame, DataFrame]:
+    """The terms in ``least_docs`` documents of their language or more, and
+    ``counted`` with what tells them apart.
+
+    Kept: ``lang, digest, own, sub, term``.  ``own`` is null and ``sub`` 0, or
+    where terms share a digest the term itself and a number from 1; ``own`` of
+    ``counted`` follows."""
     frequent = stored(counted.groupBy("lang", "digest").agg(F.sum("docs").alias("_docs")).where(F.col("_docs") >= least_docs)
                       .select("lang", "digest"), "audit-digests")
     # strings of candidate digests only
-    ends = stored(probably_in(counted, frequent).join(frequent, ["lang", "digest"], "left_semi").groupBy("lang", "digest")
-                  .agg(F.min("term").alias("lo"), F.max("term").alias("hi")), "audit-terms")
-    clean = ends.where(F.col("lo") == F.col("hi")).select("lang", "digest", F.lit(0).alias("sub"), F.col("lo").alias("term"))
+    ends = probably_in(counted, frequent).groupBy("lang", "digest").agg(F.min("term").alias("lo"), F.max("term").alias("hi"))
+    ends = stored(ends.join(frequent, ["lang", "digest"], "left_semi"), "audit-terms")
+    none = F.lit(None).cast("string").alias("own")
+    clean = ends.where(F.col("lo") == F.col("hi")).select("lang", "digest", none, F.lit(0).alias("sub"), F.col("lo").alias("term"))
     shared = ends.where(F.col("lo") != F.col("hi")).select("lang", "digest")
     if shared.isEmpty():
-        return clean
-    apart = (counted.join(shared, ["lang", "digest"], "left_semi").groupBy("lang", "digest", "term").agg(F.sum("docs").alias("_docs"))
+        return clean, counted.withColumn("own", none)
+    marked = (counted.join(shared.withColumn("_shared", F.lit(True)), ["lang", "digest"], "left")
+              .withColumn("own", F.when(F.col("_shared"), F.col("term"))).drop("_shared"))
+    apart = (marked.where(F.col("own").isNotNull()).groupBy("lang", "digest", "own").agg(F.sum("docs").alias("_docs"))
              .where(F.col("_docs") >= least_docs)
-             .select("lang", "digest", F.row_number().over(Window.partitionBy("lang", "digest").orderBy("term")).alias("sub"), "term"))
-    return stored(clean.unionByName(apart), "audit-kept")
+             .select("lang", "digest", "own", F.row_number().over(Window.partitionBy("lang", "digest").orderBy("own")).alias("sub"),
+                     F.col("own").alias("term")))
+    return stored(clean.unionByName(apart), "audit-kept"), marked
 
 
 def share(count, total, terms):
@@ -197,13 +205,14 @@ def divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP, la
                       text_or_empty(f"`{text}`").alias("text"))
     digest = F.xxhash64("term") if digest_bits >= 64 else F.xxhash64("term").bitwiseAND(F.lit((1 << digest_bits) - 1))
     counted = stored(count_terms(own).withColumn("digest", digest), "audit-counts")
-    kept = stored(kept_terms(counted, least_docs), "audit-vocabulary")
+    kept, counted = kept_terms(counted, least_docs)
+    kept = stored(kept, "audit-vocabulary")
     each = F.explode(F.arrays_zip("sources", "counts")).alias("e")
-    split = F.col("k.sub") > 0
-    hit = probably_in(counted, kept).alias("c").join(kept.alias("k"), (F.col("c.lang") == F.col("k.lang")) & (F.col("c.digest") == F.col("k.digest"))
-                                  & (~split | (F.col("c.term") == F.col("k.term"))))
-    per_group = stored(hit.select("c.lang", "c.digest", "k.sub", each)
-                       .groupBy("lang", F.col("e.sources").alias("source"), "digest", "sub").agg(F.sum("e.counts").alias("n")), "audit-groups")
+    # counted per source first, so that the join has one row per source and term
+    summed = (probably_in(counted, kept).select("lang", "digest", "own", each)
+              .groupBy("lang", F.col("e.sources").alias("source"), "digest", "own").agg(F.sum("e.counts").alias("n"))).alias("c")
+    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"k.{k}")) if k == "own" else F.col(f"c.{k}") == F.col(f"k.{k}") for k in ("lang", "digest", "own")]
+    per_group = stored(summed.join(kept.alias("k"), same).select("c.lang", "c.source", "c.digest", "k.sub", "c.n"), "audit-groups")
     langs = stored(kept.groupBy("lang").agg(F.count("*").alias("terms")), "audit-languages")
     totals = per_group.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = stored(own.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
