@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = set(entry.queries())
-    assert {f"op{i}" for i in range(1, 11)} == {re.match(r"op\d+", n)[0] for n in names if re.match(r"op\d+_", n)}
+    assert {f"op{i}" for i in range(1, 14)} == {re.match(r"op\d+", n)[0] for n in names if re.match(r"op\d+_", n)}
     assert "pipeline" in names and set(queries.LLM_ORACLE) <= names
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "secrets", "mixing"]
 
@@ -57,7 +57,8 @@ def test_run_equals_the_stages(spark, stages):
     assert got == sorted((r["doc_id"], r["copy_no"], r["text"]) for r in stages[-1].collect())
 
 
-@pytest.mark.parametrize("name", ["op2_decontamination", "op5_jaccard_join", "op7_substring_dedup", "op8_mixing", "op9_chat_format", "op10_quality_rules"])
+@pytest.mark.parametrize("name", ["op2_decontamination", "op5_jaccard_join", "op7_substring_dedup", "op8_mixing", "op9_chat_format", "op10_quality_rules",
+                                  "op12_source_divergence", "op13_lexical_search"])
 def test_queries_equal_their_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
