@@ -31,7 +31,6 @@ from wardline.llm.textops import FOLD, FOLDED_WORDS, find_words, hash_words, joi
 
 #: texts in a block, and n-grams in a block, about
 BLOCK_TEXTS, BLOCK_GRAMS = 1024, 1 << 20
-NULL_ID = -(2**63)
 
 
 def banding(similarity: float, recall: float, rows: int = 5) -> tuple[int, int]:
@@ -214,8 +213,9 @@ def links_of_block(ids: np.ndarray, copies: np.ndarray, side: np.ndarray, sets:
 
 
 def row_id(id_col: str):
-    """The id as a number; a null one is ``NULL_ID``."""
-    return F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
+    """The id as it is, of any type that sorts, and before it whether there is
+    one: null ids are equal and come first."""
+    return F.struct(F.col(id_col).isNotNull().alias("known"), F.col(id_col).alias("value"))
 
 
 def linked_documents(docs: DataFrame, similarity: float, n: int, recall: float, id_col: str, text_col: str,
@@ -326,16 +326,15 @@ def jaccard_classes(docs: DataFrame, similarity: float = 0.8, n: int = 5, recall
     Two documents are linked if the Jaccard similarity of their sets of
     ``n``-word runs (folded words) is ``similarity`` or more; ``n_links`` counts
     the documents linked to a row, copies included, and ``class_id`` is the
-    least id connected with it.  Texts without words are linked to nothing.
+    least id connected with it (ids of any type that sorts).  Texts without words
+    are linked to nothing.
     Rows that repeat an id (or have none) are one document if their words are
     equal (without words: their texts), else each counts; a null id sorts before
     all others.  An empty table gives an empty result; other columns are not
     carried.
     """
     linked = linked_documents(docs, similarity, n, recall, id_col, text_col, block_texts)
-    kind = docs.schema[id_col].dataType
-    show = lambda c: F.when(F.col(c) != NULL_ID, F.col(c)).cast(kind)
-    return linked.select(show("_id").alias(id_col), show("_class").alias("class_id"), F.col("n").alias("n_links"))
+    return linked.select(F.col("_id.value").alias(id_col), F.col("_class.value").alias("class_id"), F.col("n").alias("n_links"))
 
 
 def keep_one_row_per_class(docs: DataFrame, similarity: float = 0.8, n: int = 5) -> DataFrame:
@@ -346,7 +345,7 @@ def keep_one_row_per_class(docs: DataFrame, similarity: float = 0.8, n: int = 5)
     key, raw = fresh(docs, "_key"), fresh(docs, "_raw")
     stay = linked.where("_first").select(F.col("_id").alias(key), F.col("_raw").alias(raw))
     return (docs.withColumn(key, row_id("doc_id")).withColumn(raw, F.xxhash64(text_or_empty("text")))
-            .join(stay, [key, raw], "left_semi").dropDuplicates([key, raw]).select(*docs.columns))
+            .join(stay, [key, raw], "left_semi").dropDuplicates([key, raw]).select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def keep_one_per_class(docs: DataFrame, similarity: float = 0.8, n: int = 5) -> DataFrame:
