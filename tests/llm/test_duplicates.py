@@ -115,6 +115,20 @@ def test_texts_that_share_an_id_or_have_none(spark):
     assert kept == sorted([*base, "!", "?"])
 
 
+def test_ids_of_any_type(spark):
+    base = [" ".join(random_words(950 + i, 40, 5000)) for i in range(3)]
+    texts, ids = [base[0], base[0] + " x", base[1], base[1], base[2]], ["b", "a", None, "2024-1", "c"]
+    docs = docs_of(spark, texts).drop("doc_id")
+    docs = spark.createDataFrame([(i, *r) for i, r in zip(ids, docs.collect(), strict=True)], "doc_id string, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard.jaccard_classes(docs).collect()}
+    assert got == {"a": ("a", 1), "b": ("a", 1), None: (None, 1), "2024-1": (None, 1), "c": ("c", 0)}
+    kept = jaccard.keep_one_row_per_class(docs.withColumnRenamed("n_chars", "a.b"))
+    assert kept.columns[-1] == "a.b"
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["None", "a", "c"]
+    least = docs_of(spark, [base[0], base[0]], [-(2**63), None])
+    assert {tuple(r) for r in jaccard.jaccard_classes(least).collect()} == {(None, None, 1), (-(2**63), None, 1)}
+
+
 def brute_repeats(texts, k):
     words = [[w.decode() for w in (t or "").encode().split()] for t in texts]
     at = defaultdict(list)
@@ -152,3 +166,12 @@ def test_removal_edge_cases(spark, edge, empty):
     rows = substrings.substring_report(edge).collect()
     assert sorted((r["n_words"], r["n_removed"], r["kept_sha256"]) for r in rows) == brute_repeats(EDGE_TEXTS, 35)
     assert substrings.substring_report(empty).count() == 0
+
+
+def test_equal_rows_spread_over_chunks(spark):
+    text = " ".join(random_words(5, 50, 3000))
+    rows = docs_of(spark, [text] * 4000 + ["r s t"] * 10, [None] * 4010).select("doc_id", "text")
+    sizes = [r["count"] for r in substrings.dealt(rows.toDF("_id", "_text"), 8).groupBy("_chunk").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 700
+    got = substrings.remove_repeats(rows).collect()
+    assert sorted({(r["n_words"], r["n_removed"]) for r in got}) == [(3, 0), (50, 50)] and len(got) == 4010

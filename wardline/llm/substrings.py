@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import sha, text_or_empty
+from wardline.llm.common import sha, stored, text_or_empty
 from wardline.llm.textops import BLANK_WORDS, find_words, hash_words, join_texts, mix, windows
 
 #: bytes of text in a chunk and rolling windows in a bucket, about
@@ -139,6 +139,14 @@ def full_windows(short: np.ndarray, block: int, window: int) -> np.ndarray:
     return mix(short[:n] * np.uint64(0xA0761D6478BD642F) + short[window - block :] * np.uint64(0xE7037ED1A0B428DB))
 
 
+def dealt(rows: DataFrame, chunks: int) -> DataFrame:
+    """``rows`` with their ``_chunk``, written once: the row's number takes part,
+    so that equal rows spread over all chunks, and every pass finds a row in
+    the same chunk."""
+    chunk = F.pmod(F.xxhash64("_id", "_text", F.monotonically_increasing_id()), F.lit(chunks)).cast("int")
+    return stored(rows.withColumn("_chunk", chunk), "dealt")
+
+
 def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text",
                    chunk_bytes: int = CHUNK_BYTES, bucket_values: int = BUCKET_VALUES) -> DataFrame:
     """One row per input row: ``id, n_words, n_removed, kept``.
@@ -156,7 +164,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
     size = d.agg(F.sum(F.octet_length("_text").cast("long"))).first()[0] or 0
     chunks = max(8, math.ceil(size / chunk_bytes))
     bits = max(3, math.ceil(math.log2(max(1, size / 6 / bucket_values))))
-    d = d.withColumn("_chunk", F.pmod(F.xxhash64("_id", "_text"), F.lit(chunks)).cast("int"))
+    d = dealt(d, chunks)
 
     def texts_of(table: pa.Table) -> list[bytes]:
         return table.column("_text").cast(pa.binary()).to_pylist()
