@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import packed, sha, unpacked
+from wardline.llm.common import packed, sha, stored, unpacked
 from wardline.llm.quality import let
 
 
@@ -183,7 +183,8 @@ def found_secrets(rows: DataFrame, rules: tuple[Rule, ...], id_col: str, text_co
     text = F.coalesce(row[text_col].cast("string"), F.lit(""))
     if queries:
         index = postings(rows.select(row[id_col].alias("_id"), text.alias("_text")), trigrams, "_id", "_text")
-        found = candidates(index, queries)
+        # stored, so that the planner knows its size: few candidates meet the texts where they lie
+        found = stored(candidates(index, queries), "candidates")
         keyed = rows.withColumn("_key", F.xxhash64(text))
         rows = keyed.join(found, keyed["_row"][id_col].eqNullSafe(found["_id"]) & (keyed["_key"] == found["_hash"]), "left")
     parts = []
