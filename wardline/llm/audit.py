@@ -95,15 +95,23 @@ def probably_in(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """``rows`` without most of those whose ``lang, digest`` is not in ``keys``,
     and with all others: a join still has to follow, of fewer rows.
 
-    The keys mark bits of a map of ``1 << MAP_BITS`` bits, which is a table of
-    64-bit words with a bounded number of rows, however many keys there are.
+    The keys mark bits of a map of ``1 << MAP_BITS`` bits, which every task gets
+    whole: its size is fixed, however many keys there are.
     """
     bit = F.xxhash64("lang", "digest").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
     within = bit.bitwiseAND(F.lit(63)).cast("int")
-    word = F.shiftright(bit, 6)
-    words = stored(keys.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), within)).alias("_bits")), "audit-map")
-    return (rows.withColumn("_at", word).join(F.broadcast(words), F.col("_at") == F.col("_word"))
-            .where(F.getbit("_bits", within) == 1).drop("_at", "_word", "_bits"))
+    words = (keys.groupBy(F.shiftright(bit, 6).cast("int").alias("word"))
+             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), within)).alias("bits"))).toArrow()
+    bits = np.zeros(1 << (MAP_BITS - 6), np.int64)
+    bits[words["word"].to_numpy()] = words["bits"].to_numpy()
+    sent = rows.sparkSession.sparkContext.broadcast(bits)
+
+    @F.arrow_udf("boolean")
+    def marked(at: pa.Array) -> pa.Array:
+        at = at.to_numpy()
+        return pa.array((sent.value[at >> 6] >> (at & 63)) & 1 == 1)
+
+    return rows.where(marked(bit))
 
 
 def kept_terms(counted: DataFrame, least_docs: int) -> tuple[DataFrame, DataFrame]:
