@@ -17,7 +17,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, tag: str) -> DataFrame:
+def stored(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and scan it.
 
     Cuts the lineage like ``checkpoint()``, but keeps column pruning, and the
@@ -26,7 +26,7 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

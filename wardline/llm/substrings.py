@@ -144,7 +144,7 @@ def dealt(rows: DataFrame, chunks: int) -> DataFrame:
     so that equal rows spread over all chunks, and every pass finds a row in
     the same chunk."""
     chunk = F.pmod(F.xxhash64("_id", "_text", F.monotonically_increasing_id()), F.lit(chunks)).cast("int")
-    return stored(rows.withColumn("_chunk", chunk), "dealt")
+    return stored(rows.withColumn("_chunk", chunk), "dealt", "zstd")
 
 
 def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text",
