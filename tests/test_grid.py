@@ -3,8 +3,9 @@ from pyspark.sql import functions as F
 
 from long_records import long_df
 from wardline.functions.timefmt import hhmm_to_minutes, minutes_to_bin
-from wardline.operators.grid import aggregate_duplicates, time_grid
+from wardline.operators.grid import aggregate_duplicates, grid_minutes, time_grid
 from wardline.operators.quality import apply_long_rules, apply_wide_rules
+from wardline.sources.tables import events_as_records
 from wardline.vocab import ICU
 
 
@@ -70,3 +71,33 @@ def test_long_rules(spark):
             (1, "HR", "00:00", 9.0), (1, "Temp", "00:00", 37.0)]
     got = {r.Parameter: r.Value for r in apply_long_rules(long_df(spark, rows), ICU).collect()}
     assert got == {"Gender": 1.0, "RecordID": None, "ICUType": None, "HR": None, "Temp": 37.0}
+
+
+def test_grid_of_minutes_equals_grid_of_text(spark):
+    rows = [(1, "HR", "00:10", 80.0), (1, "HR", "48:00", 100.0), (1, "HR", "48:01", 1.0), (1, "Urine", "03:00", 5.0),
+            (1, "Urine", "03:00", 6.0), (2, "HR", "05:30", 60.0), (3, "HR", None, 60.0)]
+    text = long_df(spark, rows)
+    minutes = text.withColumn("Time", hhmm_to_minutes("Time"))
+    a = sorted(map(tuple, time_grid(text, ICU).collect()), key=str)
+    assert a == sorted(map(tuple, time_grid(minutes, ICU).collect()), key=str)
+    assert {r[0] for r in a} == {1, 2} and len(a) == 2 * 49
+
+
+def test_first_and_last_minute_of_the_grid(spark):
+    df = spark.range(-200, 3100).select(F.col("id").alias("m"), minutes_to_bin("m").alias("b"))
+    for bins in (1, 49):
+        inside = [r.m for r in df.where(F.col("b").between(0, bins - 1)).collect()]
+        assert (min(inside), max(inside)) == grid_minutes(60, bins)
+
+
+def test_range_of_time_stamps_reaches_the_scan(spark, tmp_path):
+    rows = spark.sql("""SELECT explode(sequence(-90, 90)) m""").selectExpr(
+        "timestampadd(SECOND, 60 * m + 59, TIMESTAMP_NTZ'2024-01-01 00:00:00') ts", "1L user_id",
+        "'view' event_type", "CAST(m AS DOUBLE) value")
+    for kind in ("timestamp", "timestamp_ntz"):
+        path = str(tmp_path / kind)
+        rows.withColumn("ts", F.col("ts").cast(kind)).write.parquet(path)
+        got = events_as_records(spark.read.parquet(path), "2024-01-01 00:00:00", (-59, 60))
+        assert sorted((r.Time, r.Value) for r in got.collect()) == [(m, float(m)) for m in range(-59, 61)]
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(ts," in plan and "LessThan(ts," in plan

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def _c(c) -> Column:
@@ -16,6 +17,13 @@ def hhmm_to_minutes(c) -> Column:
     return (parts.getItem(0).cast("int") * 60 + parts.getItem(1).cast("int")).cast("int")
 
 
+def elapsed_minutes(df: DataFrame, time_col: str) -> Column:
+    """Minutes of ``time_col``, which holds ``'HH:MM'`` text or whole minutes."""
+    if isinstance(df.schema[time_col].dataType, StringType):
+        return hhmm_to_minutes(F.col(f"`{time_col}`"))
+    return F.col(f"`{time_col}`").cast("int")
+
+
 def minutes_to_bin(minutes, bin_minutes: int = 60) -> Column:
     """Ceiling bin: 0 -> 0, 1..60 -> 1, 61..120 -> 2 (hourly by default)."""
     return F.ceil(_c(minutes) / F.lit(float(bin_minutes))).cast("int")

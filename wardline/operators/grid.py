@@ -2,8 +2,8 @@
 
 Shuffle plan of :func:`time_grid` at scale:
 
-1. ``aggregate_duplicates`` groups by the full key (id, parameter, time),
-   so a hot entity is spread over many tasks.
+1. ``aggregate_duplicates`` groups by the full key (id, parameter, minute as an
+   integer) of the rows inside the grid, so a hot entity is spread over many tasks.
 2. binning + hourly aggregation groups by (id, bin) with map-side partial
    aggregation, so what is shuffled is at most one row per (id, bin) per
    input partition.
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.functions.timefmt import hhmm_to_minutes, minutes_to_bin
+from wardline.functions.timefmt import elapsed_minutes, minutes_to_bin
 from wardline.operators.quality import apply_wide_rules
 from wardline.vocab import ICU, ICU_N_BINS, Vocabulary
 
@@ -83,8 +83,21 @@ def pivot_records(df: DataFrame, vocab: Vocabulary = ICU, id_col: str = "RecordI
 
 def bin_records(df: DataFrame, time_col: str = "Time", bin_minutes: int = 60,
                 out_col: str = "Time") -> DataFrame:
-    """F1 + F2: ``'HH:MM'`` -> ceiling bin index (hour by default)."""
-    return df.withColumn(out_col, minutes_to_bin(hhmm_to_minutes(time_col), bin_minutes))
+    """F1 + F2: ``'HH:MM'`` or whole minutes -> ceiling bin index (hour by default)."""
+    return df.withColumn(out_col, minutes_to_bin(elapsed_minutes(df, time_col), bin_minutes))
+
+
+def grid_minutes(bin_minutes: int, n_bins: int) -> tuple[int, int]:
+    """First and last minute whose ceiling bin lies in ``0..n_bins-1``."""
+    return 1 - bin_minutes, (n_bins - 1) * bin_minutes
+
+
+def records_in_grid(records: DataFrame, time_col: str = "Time", bin_minutes: int = 60,
+                    n_bins: int = ICU_N_BINS) -> DataFrame:
+    """records with ``time_col`` in integer minutes, those inside the grid
+    only.  Missing times are left out; text that is no ``HH:MM`` ends the job."""
+    return (records.withColumn(time_col, elapsed_minutes(records, time_col))
+            .where(F.col(f"`{time_col}`").between(*grid_minutes(bin_minutes, n_bins))))
 
 
 def binned_means(df: DataFrame, vocab: Vocabulary = ICU, id_col: str = "RecordID",
@@ -102,7 +115,7 @@ def binned_means(df: DataFrame, vocab: Vocabulary = ICU, id_col: str = "RecordID
     a bin equals the mean over its long rows, and a bin has a pivoted row iff
     it has a long row.
     """
-    b = minutes_to_bin(hhmm_to_minutes(time_col), bin_minutes)
+    b = minutes_to_bin(elapsed_minutes(df, time_col), bin_minutes)
     src = (df.select(F.col(id_col), F.col(param_col), b.alias("_bin"), F.col(value_col))
            .where(F.col("_bin").between(0, n_bins - 1)))
     aggs = []
@@ -155,11 +168,12 @@ def time_grid(records: DataFrame, vocab: Vocabulary = ICU, id_col: str = "Record
               clean: bool = True) -> DataFrame:
     """Long records -> ``(id, Time 0..n_bins-1, statics, series)`` grid.
 
-    dedup (A1) -> bin (F1, F2) -> binned means (A2 + A3) -> densify (J6) ->
+    minutes (F1) -> dedup (A1) -> bin (F2) -> binned means (A2 + A3) -> densify (J6) ->
     static propagation (W3) -> plausibility (P5, P6; after propagation,
     so an implausible first static stays null, Q-3).
     """
-    dedup = aggregate_duplicates(records, vocab, id_col, param_col, time_col, value_col, strict)
+    inside = records_in_grid(records, time_col, bin_minutes, n_bins)
+    dedup = aggregate_duplicates(inside, vocab, id_col, param_col, time_col, value_col, strict)
     sparse = binned_means(dedup, vocab, id_col, param_col, time_col, value_col, bin_minutes, n_bins)
     grid = densify_and_propagate(sparse, vocab, id_col, time_col, n_bins)
     if clean:

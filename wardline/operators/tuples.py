@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wardline.functions.timefmt import hhmm_to_minutes
+from wardline.functions.timefmt import elapsed_minutes
 from wardline.operators.common import broadcast_if_bounded
 from wardline.operators.quality import apply_long_rules
 from wardline.session import cut_lineage
@@ -27,13 +27,14 @@ PAD_VALUE = -999.0
 def event_tuples(dedup: DataFrame, vocab: Vocabulary = ICU, id_col: str = "RecordID",
                  param_col: str = "Parameter", time_col: str = "Time",
                  value_col: str = "Value") -> DataFrame:
-    """P7 + F1 + P8 + F17: deduplicated records -> ``(id LONG, Parameter,
+    """P7 + F1 + P8 + F17: deduplicated records (time as ``'HH:MM'`` or whole
+    minutes) -> ``(id LONG, Parameter,
     Time INT minutes, Value)`` with implausible values, identifiers and
     categories removed (they become null and null rows are dropped)."""
     cleaned = apply_long_rules(dedup, vocab, param_col, value_col)
     return (cleaned
             .select(F.col(id_col).cast("long").alias(id_col), F.col(param_col),
-                    hhmm_to_minutes(time_col).alias(time_col), F.col(value_col))
+                    elapsed_minutes(dedup, time_col).alias(time_col), F.col(value_col))
             .where(F.col(value_col).isNotNull()))
 
 

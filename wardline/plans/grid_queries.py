@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.operators.features import fill_features, mean_features, stat_features, STATS
-from wardline.operators.grid import aggregate_duplicates, pivot_records, time_grid
+from wardline.functions.timefmt import minutes_to_hhmm
+from wardline.operators.grid import aggregate_duplicates, grid_minutes, pivot_records, time_grid
 from wardline.operators.impute import ffill_and_fill
 from wardline.plans.registry import register, rounded, r
 from wardline.session import cut_lineage
@@ -16,14 +17,18 @@ from wardline.vocab import EVENTS, EVENTS_BIN_MINUTES, EVENTS_N_BINS, EVENTS_ORI
 V = EVENTS
 
 
-def events_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events_records(spark: SparkSession, sf_dir: str, minutes_between=None) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", columns=["ts", "user_id", "event_type", "value"])
-    return events_as_records(ev)
+    return events_as_records(ev, minutes_between=minutes_between)
+
+
+def deduplicated_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregate_duplicates(events_records(spark, sf_dir), V, strict=False)
 
 
 def events_grid_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return time_grid(events_records(spark, sf_dir), V, bin_minutes=EVENTS_BIN_MINUTES,
-                     n_bins=EVENTS_N_BINS)
+    inside = events_records(spark, sf_dir, grid_minutes(EVENTS_BIN_MINUTES, EVENTS_N_BINS))
+    return time_grid(inside, V, bin_minutes=EVENTS_BIN_MINUTES, n_bins=EVENTS_N_BINS)
 
 
 def events_grid_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,13 +173,14 @@ SQL_PIVOT = (f"WITH {SQL_RECORDS}\nSELECT RecordID, {_HHMM} AS Time, " + ", ".jo
 @register("records_dedup", SQL_DEDUP)
 def q_records_dedup(spark, sf_dir):
     """A1 on the events table read as minute-resolution records."""
-    return rounded(aggregate_duplicates(events_records(spark, sf_dir), V, strict=False))
+    return rounded(deduplicated_records(spark, sf_dir).withColumn("Time", minutes_to_hhmm("Time")))
 
 
 @register("records_pivot", SQL_PIVOT)
 def q_records_pivot(spark, sf_dir):
     """A1 + A2 + P4: one wide row per (entity, minute)."""
-    return rounded(pivot_records(aggregate_duplicates(events_records(spark, sf_dir), V, strict=False), V))
+    wide = pivot_records(deduplicated_records(spark, sf_dir), V)
+    return rounded(wide.withColumn("Time", minutes_to_hhmm("Time")))
 
 
 @register("events_grid", SQL_EVENTS_GRID)

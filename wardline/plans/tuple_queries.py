@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wardline.operators.explore import length_stats
-from wardline.operators.grid import aggregate_duplicates
 from wardline.operators.impute import ffill_and_fill
 from wardline.operators.sample import class_weights, positive_counts
 from wardline.operators.scale import (
@@ -17,7 +16,7 @@ from wardline.operators.tuples import (
     sequence_lengths, split_triplets,
 )
 from wardline.plans.grid_queries import (
-    SQL_GRID_CTE, SQL_RECORDS, V, _STAT_NAMES, _stat_sql, events_grid_df, events_grid_table, events_records,
+    SQL_GRID_CTE, SQL_RECORDS, V, _STAT_NAMES, _stat_sql, deduplicated_records, events_grid_df, events_grid_table,
 )
 from wardline.plans.registry import r, register, rounded
 from wardline.session import cut_lineage
@@ -28,7 +27,7 @@ TIME_RANGE = float(EVENTS_N_BINS * EVENTS_BIN_MINUTES)
 
 
 def events_tuples_df(spark, sf_dir):
-    return event_tuples(aggregate_duplicates(events_records(spark, sf_dir), V, strict=False), V)
+    return event_tuples(deduplicated_records(spark, sf_dir), V)
 
 
 def _tuple_rule_sql() -> str:

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.functions.timefmt import minutes_to_hhmm
 from wardline.session import table_path
 from wardline.vocab import EVENTS_ORIGIN
 
@@ -25,18 +24,26 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None,
     return df
 
 
-def events_as_records(events: DataFrame, origin: str = EVENTS_ORIGIN) -> DataFrame:
-    """``events`` as a long record table ``(RecordID, Parameter, Time 'HH:MM', Value)``.
+def events_as_records(events: DataFrame, origin: str = EVENTS_ORIGIN,
+                      minutes_between: tuple[int, int] | None = None) -> DataFrame:
+    """``events`` as a long record table ``(RecordID, Parameter, Time INT minutes, Value)``.
 
-    Time is the elapsed time since ``origin`` in whole minutes, written the
-    way record files write it (hours may exceed 23).
+    Time is the elapsed time since ``origin`` in whole minutes.  With
+    ``minutes_between`` (both included) the time stamps outside that range are
+    left out by a comparison of the bare ``ts`` column, which reaches the scan.
     """
+    if minutes_between is not None:
+        lo, hi = minutes_between
+        start = F.lit(origin).cast(events.schema["ts"].dataType)
+        events = events.where((F.col("ts") >= start + F.make_dt_interval(mins=F.lit(lo)))
+                              & (F.col("ts") < start + F.make_dt_interval(mins=F.lit(hi + 1))))
     # whole minutes on the wall clock (time-zone independent)
-    minutes = F.expr(f"timestampdiff(MINUTE, TIMESTAMP_NTZ'{origin}', CAST(ts AS TIMESTAMP_NTZ))")
+    micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{origin}', CAST(ts AS TIMESTAMP_NTZ))")
+    minutes = F.floor(micros / F.lit(60_000_000.0))
     return events.select(
         F.col("user_id").cast("long").alias("RecordID"),
         F.col("event_type").alias("Parameter"),
-        minutes_to_hhmm(minutes).alias("Time"),
+        minutes.cast("int").alias("Time"),
         F.when(F.isnan("value"), None).otherwise(F.col("value")).alias("Value"),
     )
 
