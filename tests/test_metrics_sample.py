@@ -1,3 +1,4 @@
+import pytest
 import math
 
 import numpy as np
@@ -82,3 +83,34 @@ def test_dense_index_by_class_is_a_permutation(spark):
     out = dense_index_by_class(df, rows_per_group=40).toPandas()
     for lab, g in out.groupby("label"):
         assert sorted(g["_idx"]) == list(range(1, len(g) + 1))
+
+
+def plain_silhouette(points, labels):
+    points, labels = np.asarray(points), np.asarray(labels)
+    out = []
+    for x, c in zip(points, labels):
+        d = ((points - x) ** 2).sum(axis=1)
+        if (labels == c).sum() == 1:
+            out.append(0.0)
+            continue
+        a = d[labels == c].sum() / ((labels == c).sum() - 1)
+        b = min(d[labels == k].mean() for k in set(labels) - {c})
+        out.append((b - a) / max(a, b))
+    return np.mean(out)
+
+
+def test_silhouette_far_from_the_origin(spark):
+    rng = np.random.default_rng(3)
+    labels = [0] * 20 + [1] * 15 + [2]
+    points = rng.normal(size=(36, 5)) + np.array(labels)[:, None]
+    want = plain_silhouette(points, labels)
+    for far in (0.0, 1e7):
+        rows = [([float(v) for v in p], c) for p, c in zip(points + far, labels)] + [(None, 1), ([0.0] * 5, None)]
+        df = spark.createDataFrame(rows, "embedding array<double>, label int")
+        got = silhouette_sq_euclidean(df).first()
+        assert got.n == 36 and got.silhouette == pytest.approx(want, abs=1e-6)
+
+
+def test_silhouette_of_an_empty_table(spark):
+    got = silhouette_sq_euclidean(spark.createDataFrame([], "embedding array<float>, label int")).first()
+    assert (got.silhouette, got.n) == (None, 0)

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -142,22 +144,25 @@ def silhouette_sq_euclidean(df: DataFrame, vec_col: str = "embedding", label_col
     """M17 with squared Euclidean distance, exact and without pairs.
 
     The mean squared distance from x to the points of class c is
-    ``|x|^2 - 2 x.mu_c + mean_c(|y|^2)``, so per-class sums (count, vector
-    sum, sum of squared norms; one row per class, broadcast) give every
-    point's a (own class, excluding itself) and b (nearest other class).
-    Returns one row ``(silhouette, n)``; points alone in their class score 0.
+    ``|x|^2 - 2 x.mu_c + mean_c(|y|^2)`` for vectors less the mean of all
+    points (so that nothing cancels far from the origin); per-class sums (count,
+    vector sum, sum of squared norms; one row per class) give every point's a
+    (own class, excluding itself) and b (nearest other class).  Returns one row
+    ``(silhouette, n)``; points alone in their class score 0, points without a
+    vector or a class are left out.
     """
-    v = F.col(vec_col)
-    norm2 = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
-    pts = df.select(F.col(label_col).alias("_c"), F.transform(v, lambda x: x.cast("double")).alias("_v"),
-                    norm2.alias("_n2"))
-    dim = F.size("_v")
-    stats = (pts.select("_c", "_n2", F.posexplode("_v").alias("_i", "_x"))
-             .groupBy("_c", "_i").agg(F.sum("_x").alias("_s")))
-    cls = (stats.groupBy("_c").agg(F.array_sort(F.collect_list(F.struct("_i", "_s"))).alias("_sv"))
-           .select("_c", F.transform("_sv", lambda e: e["_s"]).alias("_sum")))
-    cnt = pts.groupBy("_c").agg(F.count(F.lit(1)).alias("_m"), F.sum("_n2").alias("_q"))
-    cls = cls.join(cnt, "_c")
+    raw = (df.select(F.col(label_col).alias("_c"),
+                     F.transform(vec_col, lambda x: x.cast("double")).alias("_v"))
+           .where(F.col("_c").isNotNull() & F.col("_v").isNotNull()))
+    # a group, not a global aggregate: an empty table has no row here
+    center = raw.groupBy(F.lit(1).alias("_one")).agg(vector_to_array(Summarizer.mean(array_to_vector("_v"))).alias("_center"))
+    norm2 = F.aggregate("_v", F.lit(0.0), lambda acc, x: acc + x * x)
+    pts = (attach_row(raw, center)
+           .select("_c", F.zip_with("_v", "_center", lambda x, m: x - m).alias("_v"))
+           .withColumn("_n2", norm2))
+    cls = pts.groupBy("_c").agg(
+        vector_to_array(Summarizer.sum(array_to_vector("_v"))).alias("_sum"),
+        F.count(F.lit(1)).alias("_m"), F.sum("_n2").alias("_q"))
     classes = cls.agg(F.collect_list(F.struct("_c", "_sum", "_m", "_q")).alias("_cls"))  # one row per class
     joined = attach_row(pts, classes)  # single row holding the class table
 
