@@ -1,5 +1,8 @@
 import hashlib
+import os
 import random
+import subprocess
+import sys
 
 import pytest
 from llm_samples import EDGE_TEXTS, docs_of, random_words
@@ -178,3 +181,44 @@ def test_number_of_passes_does_not_show(spark, monkeypatch, per_pass):
     monkeypatch.setattr(decontam, "BLOCKS_PER_PASS", per_pass)
     got = [tuple(r) for r in decontam.decontaminate(df, bench_of(spark, items), max_coverage=0.45).orderBy("doc_id").collect()]
     assert got == want
+
+
+def test_blocks_hold_each_piece_once_also_without_ids(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices("abcdefgh", k=60)) for _ in range(40)]
+    items = [(None, t) for t in texts] + [(None, texts[0])] * 200 + [("x", "A a-A")] * 50
+    bench = spark.createDataFrame([*items, ("y", None), ("z", "--")], "item_id string, text string")
+    blocks = list(decontam.item_blocks(bench, 10, 400, "item_id", "text"))
+    got = [row for b in blocks for row in b]
+    assert len(got) == len(set(got)) and {i for i, _ in got} == {None, "x"} and ("x", "a a a") in got
+
+    def windows(texts):
+        return {tuple(w[i : i + 10]) for w in map(str.split, texts) for i in range(len(w) - 9)}
+
+    assert windows(w for i, w in got if i is None) == windows(texts)
+    sizes = [sum(len(w.split()) for _, w in b) for b in blocks]
+    assert len(blocks) > 3 and max(sizes) <= 1200
+    assert list(decontam.item_blocks(bench.where("item_id in ('y', 'z')"), 10, 400, "item_id", "text")) == []
+
+
+JOB_ELSEWHERE = """
+import sys
+sys.path.insert(0, {repo!r})
+from wardline.session import get_session
+from wardline.llm import decontam
+spark = get_session("local[2]", shuffle_partitions=2)
+words = " ".join(f"w{{i}}" for i in range(12))
+docs = spark.createDataFrame([(1, "before " + words + " after"), (2, "clean text")], "doc_id long, text string")
+bench = spark.createDataFrame([("a", words)], "item_id string, text string")
+print("hits", [r.n_hit for r in decontam.contamination_report(docs, bench).orderBy("doc_id").collect()])
+print("texts", [r.text for r in decontam.decontaminate(docs, bench, max_coverage=0.9).orderBy("doc_id").collect()])
+"""
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    script = tmp_path / "job.py"
+    script.write_text(JOB_ELSEWHERE.format(repo=repo))
+    run = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "hits [12, 0]" in run.stdout and "texts ['before  after', 'clean text']" in run.stdout, run.stderr[-2000:]

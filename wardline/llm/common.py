@@ -17,16 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
+def stored(df: DataFrame, tag: str, compression: str = "snappy", by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and scan it.
 
     Cuts the lineage like ``checkpoint()``, but keeps column pruning, and the
     planner knows the real size of the table: it broadcasts a side of a join
     only when the bytes on disk are under ``autoBroadcastJoinThreshold``.
+    With ``by`` there is a folder per value of that column, so that a filter on
+    it reads no other.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path, compression=compression)
+    df.write.parquet(path, compression=compression, partitionBy=by)
     return spark.read.schema(df.schema).parquet(path)
 
 

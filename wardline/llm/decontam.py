@@ -1,8 +1,9 @@
 """Benchmark decontamination with a generalised suffix automaton (operator 2).
 
-The benchmark's words are normalised and cut into bounded blocks; each block
-becomes one suffix automaton over word numbers, sent as a broadcast of proven
-size.  Training texts stream through it: every word moves to the longest
+The benchmark's words are normalised and cut into bounded blocks, sent as
+broadcasts of proven size.  The Python workers build one suffix automaton over
+word numbers of each block and keep it between tasks; the driver builds none.
+Training texts stream through them: every word moves to the longest
 suffix that still occurs in some item, which gives the longest match ending
 there, the words it covers and the items it belongs to.  Texts are never
 shuffled.
@@ -10,19 +11,21 @@ shuffled.
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import math
+import pickle
 from collections import defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import packed, sha, small_batches, stored, text_or_empty, unpacked, values
+from wardline.llm.common import packed, sha, small_batches, stored, text_or_empty, unpacked, values, worker_cache
 from wardline.llm.textops import FOLD_TABLE
 from wardline.session import cut_lineage
 
-#: words of benchmark items in one automaton (about 20 MB when built)
+#: words of benchmark items in one automaton (under 1 MB sent, about 20 MB when built)
 BLOCK_WORDS = 100_000
 #: automata that one pass over the documents carries along
 BLOCKS_PER_PASS = 4
@@ -170,11 +173,12 @@ def merge(a, b):
 
 
 def item_blocks(benchmark: DataFrame, window: int, block_words: int, item_col: str, text_col: str):
-    """Yield the benchmark as bounded lists of (item id, words).
+    """Yield the benchmark as bounded lists of (item id, words joined by a blank).
 
     Items longer than a piece are cut into pieces that overlap by
-    ``window - 1`` words, so a list holds about ``block_words`` words however
-    the benchmark is made.
+    ``window - 1`` words and repeated pieces count once, so a list holds about
+    ``block_words`` words however the benchmark is made.  The pieces are written
+    once, a folder per block, so each block reads its own rows only.
     """
     piece = max(block_words // 50, 2 * window)
     word = F.expr("regexp_extract_all(translate(_text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
@@ -183,12 +187,39 @@ def item_blocks(benchmark: DataFrame, window: int, block_words: int, item_col: s
               .select("_item", word.alias("_words")).where(F.size("_words") > 0)
               .select("_item", "_words", F.explode(F.sequence(
                   F.lit(0), F.greatest(F.size("_words") - window, F.lit(0)), F.lit(piece))).alias("_at"))
-              .select("_item", F.col("_at"), F.slice("_words", F.col("_at") + 1, F.lit(piece + window - 1)).alias("_words")))
-    total = pieces.agg(F.sum(F.size("_words"))).first()[0] or 0
+              .select("_item", F.col("_at"), F.slice("_words", F.col("_at") + 1, F.lit(piece + window - 1)).alias("_words"))
+              .select("_item", F.array_join("_words", " ").alias("_words"), F.size("_words").alias("_n")).distinct())
+    total = pieces.agg(F.sum("_n")).first()[0] or 0
+    if not total:
+        return
     n = math.ceil(total / block_words)
+    block = F.pmod(F.xxhash64("_item", "_words"), F.lit(n)).cast("int").alias("_block")
+    blocks = stored(pieces.select("_item", "_words", block).repartition(n, "_block"), "items", by="_block")
     for b in range(n):
-        rows = pieces.where(F.pmod(F.xxhash64("_item", "_at"), F.lit(n)) == b).collect()
-        yield [(r["_item"], [w.encode("utf-8", "surrogatepass") for w in r["_words"]]) for r in rows]
+        rows = blocks.where(F.col("_block") == b).collect()
+        if rows:
+            yield sorted(((r["_item"], r["_words"]) for r in rows), key=lambda x: (x[0] is not None, x))
+
+
+def sent_blocks(spark, blocks: list[list[tuple]]):
+    """A broadcast of blocks, as (digest, pickled plain rows) each: the workers
+    need no class of this package to read it."""
+    plain = [pickle.dumps(b) for b in blocks]
+    return spark.sparkContext.broadcast([(hashlib.sha256(p).hexdigest(), p) for p in plain])
+
+
+def automata(sent, window: int) -> list[SuffixAutomaton]:
+    """The automata of a broadcast of blocks, built once in a worker process.
+    Those of one broadcast are kept, so a worker holds ``BLOCKS_PER_PASS``."""
+    key = (window, [digest for digest, _ in sent.value])
+    cache = worker_cache()
+    if cache.get("automata_key") != key:
+        cache["automata_key"] = cache["automata"] = None  # frees the last ones first
+        cache["automata"] = [
+            SuffixAutomaton([(item, words.encode("utf-8", "surrogatepass").split()) for item, words in pickle.loads(rows)], window)
+            for _, rows in sent.value]
+        cache["automata_key"] = key
+    return cache["automata"]
 
 
 def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text",
@@ -204,18 +235,22 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, text
     """
     spark = docs.sparkSession
 
-    def stage(df: DataFrame, automaton: SuffixAutomaton | None) -> DataFrame:
-        sent = spark.sparkContext.broadcast(automaton)
+    def scan_pass(df: DataFrame, blocks: list[list[tuple]]) -> DataFrame:
+        sent = sent_blocks(spark, blocks)
 
         @F.arrow_udf(SCAN)
         def scan(texts: pa.Array, before: pa.Array) -> pa.Array:
-            auto, rows = sent.value, []
+            autos, rows = automata(sent, window), []
             for t, old in zip(values(texts), values(before), strict=True):
                 words = words_of(t)
-                starts, ends, longest, items = auto.scan(words) if auto else ([], [], 0, set())
+                starts, ends, longest, items = [], [], 0, set()
                 if old is not None:
-                    starts, ends = merge((starts, ends), (old["starts"], old["ends"]))
-                    items, longest = items | set(old["items"]), max(longest, old["longest"])
+                    starts, ends, longest, items = old["starts"], old["ends"], old["longest"], set(old["items"])
+                for auto in autos:
+                    some_starts, some_ends, reach, names = auto.scan(words)
+                    starts, ends = merge((starts, ends), (some_starts, some_ends))
+                    longest = max(longest, reach)
+                    items |= names
                 rows.append({"n_words": len(words), "starts": starts, "ends": ends, "longest": longest,
                              "items": sorted(x for x in items if x is not None)})
             return pa.array(rows, _SCAN)
@@ -223,12 +258,11 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, text
         return small_batches(df).withColumn(out, scan(text_or_empty(text_col), F.col(out)))
 
     df = docs.withColumn(out, F.lit(None).cast(SCAN))
-    k = -1
-    for k, items in enumerate(item_blocks(benchmark, window, block_words, item_col, item_text_col)):
-        if k and k % BLOCKS_PER_PASS == 0:
-            df = cut_lineage(df)
-        df = stage(df, SuffixAutomaton(items, window))
-    return df if k >= 0 else stage(df, None)
+    passes = itertools.batched(item_blocks(benchmark, window, block_words, item_col, item_text_col), BLOCKS_PER_PASS)
+    df = scan_pass(df, next(passes, ()))
+    for blocks in passes:
+        df = scan_pass(cut_lineage(df), blocks)
+    return df
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id") -> DataFrame:
@@ -257,18 +291,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_c
     spark = docs.sparkSession
     columns = docs.columns
     blocks = item_blocks(benchmark, window, BLOCK_WORDS, "item_id", "text")
-    autos = [SuffixAutomaton(items, window) for items in itertools.islice(blocks, BLOCKS_PER_PASS)]
+    first = list(itertools.islice(blocks, BLOCKS_PER_PASS))
     rows = packed(docs).withColumn("_text", F.col("_row")[text_col].cast("string"))
     if next(blocks, None) is not None:
-        del autos
         return unpacked(cut_in_passes(rows, benchmark, window, max_coverage), columns, **{text_col: F.col("_text")})
-    if not autos:
+    if not first:
         return docs
-    sent = spark.sparkContext.broadcast(autos)
+    sent = sent_blocks(spark, first)
 
     @F.arrow_udf("struct<text:string,keep:boolean>")
     def clean(texts: pa.Array) -> pa.Array:
-        return pa.array([cut(t, sent.value, max_coverage) for t in values(texts)],
+        autos = automata(sent, window)
+        return pa.array([cut(t, autos, max_coverage) for t in values(texts)],
                         pa.struct([("text", pa.string()), ("keep", pa.bool_())]))
 
     done = small_batches(rows).withColumn("_cut", clean("_text")).where(F.col("_cut")["keep"])
