@@ -121,3 +121,16 @@ def test_likeness_follows_moved_passages(spark):
 def test_no_python_workers(spark, texts):
     plan = fingerprint_report(docs_of(spark, texts))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_every_window_is_looked_at(spark):
+    text = " ".join(random_words(7, 30, 400))  # too short for 64 anchors
+    want = set()
+    for i in range(len(text) - K + 1):
+        inner = [xx(text[i + j : i + j + S]) for j in range(K - S + 1)]
+        if min(inner) in (inner[0], inner[-1]):  # whatever the least is
+            want.add(xx(text[i : i + K]) & ((1 << HASH_BITS) - 1))
+    got = docs_of(spark, [text]).select(fingerprint(F.col("text")).alias("p")).first().p
+    assert len(want) > 20 and [x >> PLACE_BITS for x in got] == sorted(want)[:64]
+    odd = docs_of(spark, [text]).select(fingerprint(F.col("text"), 14, 9).alias("p")).first().p  # six s-mers a k-mer
+    assert list(odd) == plain_print(text, k=14, s=9)

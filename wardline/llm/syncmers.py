@@ -1,7 +1,7 @@
 """Document fingerprints from closed syncmers (operator 11, built-in functions only).
 
 A k-mer of a text is chosen if the least of its inner s-mers, by hash, is its
-first or its last one (and low, which thins the choice).  The choice depends on the k-mer alone, so equal
+first or its last one.  The choice depends on the k-mer alone, so equal
 passages of two texts choose the same k-mers, wherever they stand.  A
 fingerprint keeps the chosen k-mers of least hash with their places; two
 fingerprints are compared by the k-mers they share in consistent places.
@@ -19,9 +19,9 @@ from wardline.llm.quality import let
 
 #: characters of a k-mer and of its inner s-mers
 K, S = 16, 9
-#: of the closed syncmers, those are taken whose least s-mer is in the lowest
-#: sixteenth of all hashes
-LOW = -(1 << 63) + (1 << 60)
+#: the least s-mer of a chosen k-mer is below this, which is above every hash:
+#: no closed syncmer is left out
+LOW = 1 << 63
 #: anchors that a fingerprint keeps
 KEEP = 64
 #: an anchor is a number of 38 bits of hash over 24 bits of place
@@ -43,26 +43,29 @@ def closed_syncmers(piece: Column, first: Column, k: int, s: int) -> Column:
     """Anchors of the chosen k-mers of ``piece`` (four bytes a character),
     ``first`` the place of its first character.
 
-    An s-mer below ``LOW`` may be the least of the k-mer that it begins and of
-    the k-mer that it ends; only around these the other s-mers are hashed.
+    Every s-mer is hashed once; the least of each k-mer's s-mers comes from
+    running minima whose reach doubles.
     """
     reach = k - s
     part = lambda i, n: F.substring(piece, i * 4 + 1, F.lit(4 * n))
-    value = lambda i: F.xxhash64(part(i, s))
 
-    def least(own: Column, at: Column) -> Column:  # whether ``own`` is the least s-mer of the k-mer at ``at``
-        return F.array_min(F.transform(F.sequence(at, at + reach), value)) == own
+    def minima(values: Column, wide: int, use) -> Column:  # of ``wide`` values on, as a power of two allows
+        if 2 * wide > reach + 1:
+            return use(values, wide)
+        later = F.slice(values, wide + 1, F.size(values))
+        return let(F.zip_with(values, later, lambda x, y: F.least(x, y)), lambda both: minima(both, 2 * wide, use))
 
-    def edges(i: Column, last: Column) -> Column:
-        return let(value(i), lambda own: F.array(
-            F.when((i + reach <= last) & least(own, F.least(i, last - reach)), anchor(part(i, k), first + i)),
-            F.when((i >= reach) & least(own, F.greatest(i - reach, F.lit(0))), anchor(part(i - reach, k), first + i - reach))))
+    def chosen(values: Column) -> Column:
+        def of(least: Column, wide: int) -> Column:
+            def closed(i: Column) -> Column:
+                low = F.get(least, i) if wide == reach + 1 else F.least(F.get(least, i), F.get(least, i + (reach + 1 - wide)))
+                return low == F.least(F.get(values, i), F.get(values, i + reach))
 
-    def around(last: Column) -> Column:
-        low = F.filter(F.sequence(F.lit(0), last), lambda i: value(i) < LOW)
-        return F.array_compact(F.flatten(F.transform(low, lambda i: edges(i, last))))
+            return F.transform(F.filter(F.sequence(F.lit(0), F.size(values) - 1 - reach), closed), lambda i: anchor(part(i, k), first + i))
 
-    return let((F.length(piece) / 4).cast("int") - s, around)
+        return minima(values, 1, of)
+
+    return let(F.transform(F.sequence(F.lit(0), (F.length(piece) / 4).cast("int") - s), lambda i: F.xxhash64(part(i, s))), chosen)
 
 
 def anchors(text: Column, first: Column, k: int, s: int) -> Column:
